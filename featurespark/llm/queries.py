@@ -12,6 +12,8 @@ from .licenses import recognise, recognise_sql
 from .mixing import mix, mix_sql
 from .packing import length_buckets
 from .sharding import hilbert_shards
+from .substring import dedup_words
+from .suffix import dedup_bytes
 from .support import documents
 
 
@@ -26,10 +28,18 @@ def op2_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(documents(spark, sf_dir))
 
 
+def op3_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_words(documents(spark, sf_dir))
+
+
 def op7_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
+def op8_deep_shallow_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(documents(spark, sf_dir))
+
+
 def op9_length_bucket_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_buckets(documents(spark, sf_dir))
 
@@ -43,7 +53,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_hilbert_shards,
         op2_merkle_fingerprints,
+        op3_rlz_substring_dedup,
         op7_hash_threshold_mix,
+        op8_deep_shallow_suffixes,
         op9_length_bucket_batches,
         op10_license_rules,
     )
