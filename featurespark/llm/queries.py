@@ -12,6 +12,7 @@ from .licenses import recognise, recognise_sql
 from .mixing import mix, mix_sql
 from .packing import length_buckets
 from .sharding import hilbert_shards
+from .simhash import near_components
 from .substring import dedup_words
 from .suffix import dedup_bytes
 from .support import documents
@@ -32,6 +33,10 @@ def op3_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_words(documents(spark, sf_dir))
 
 
+def op5_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(documents(spark, sf_dir))
+
+
 def op7_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_hilbert_shards,
         op2_merkle_fingerprints,
         op3_rlz_substring_dedup,
+        op5_pivot_simhash,
         op7_hash_threshold_mix,
         op8_deep_shallow_suffixes,
         op9_length_bucket_batches,
