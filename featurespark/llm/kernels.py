@@ -108,10 +108,11 @@ def is_space(buf: np.ndarray) -> np.ndarray:
     return (buf == 32) | ((buf >= 9) & (buf <= 13))
 
 
-def find_words(chunk: Chunk) -> Words:
+def find_words(chunk: Chunk, inside: np.ndarray | None = None) -> Words:
+    """Runs of the bytes that ``inside`` marks, by default of all but the separators."""
     buf, offsets = chunk.buf, chunk.offsets
     n = len(buf)
-    inside = ~is_space(buf)
+    inside = ~is_space(buf) if inside is None else inside
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     closes = inside.copy()

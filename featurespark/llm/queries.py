@@ -11,11 +11,13 @@ from .fingerprints import edit_fingerprints
 from .licenses import recognise, recognise_sql
 from .mixing import mix, mix_sql
 from .packing import length_buckets
+from .quality import rate_quality
 from .sharding import hilbert_shards
 from .simhash import near_components
 from .substring import dedup_words
 from .suffix import dedup_bytes
 from .support import documents
+from .toxicity import CUT, held_out, score_toxicity
 
 
 def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,10 +35,20 @@ def op3_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_words(documents(spark, sf_dir))
 
 
+def op4_conv_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    predicted = (F.col("score") >= CUT).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted, "threshold", "toxic")
+
+
 def op5_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(documents(spark, sf_dir))
 
 
+def op6_forest_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rate_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -59,7 +71,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_hilbert_shards,
         op2_merkle_fingerprints,
         op3_rlz_substring_dedup,
+        op4_conv_toxicity,
         op5_pivot_simhash,
+        op6_forest_quality,
         op7_hash_threshold_mix,
         op8_deep_shallow_suffixes,
         op9_length_bucket_batches,
