@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .kernels import (
     Chunk,
@@ -213,7 +214,7 @@ def rule_statistics(docs: DataFrame, *more: str) -> DataFrame:
     schema = source.drop("text").schema
     for c in COUNTS:
         schema = schema.add(c, "long")
-    return source.mapInArrow(task, schema.add("statistics", "array<double>"))
+    return source.mapInArrow(task, schema.add("statistics", T.ArrayType(T.DoubleType())))
 
 
 @dataclass

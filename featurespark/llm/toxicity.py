@@ -28,6 +28,8 @@ MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 2_500, 5_000, 20_000
 EPOCHS, LEAST_STEPS, BATCH, RATE, TABLE_RATE, PRIOR = 4, 200, 64, 0.01, 20, 10.0
 #: Where a score counts as toxic without regard to language, and the rows that a language's own threshold needs.
 CUT, LEAST_ROWS = 0.3, 20
+#: Weight of the pull of scale and shift towards 1 and 0, in rows.
+PULL = 1.0
 
 _KIND = np.zeros(256, bool)
 _KIND[np.r_[48:58, 65:91, 97:123, 128:256]] = True
@@ -171,8 +173,8 @@ def calibrate(net: Net, raw: np.ndarray, labels: np.ndarray, langs: list) -> Non
     for _ in range(30):  # Newton steps with a weak pull towards the start
         p = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
         w, d = p * (1 - p), p - labels
-        g = np.array([d @ raw + 0.05 * (a - 1), d.sum() + 0.05 * b])
-        h = np.array([[w @ (raw * raw) + 0.05, w @ raw], [w @ raw, w.sum() + 0.05]])
+        g = np.array([d @ raw + PULL * (a - 1), d.sum() + PULL * b])
+        h = np.array([[w @ (raw * raw) + PULL, w @ raw], [w @ raw, w.sum() + PULL]])
         step = np.linalg.solve(h, g)
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-6:
