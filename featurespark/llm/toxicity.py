@@ -169,17 +169,26 @@ def train(docs: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Net:
 
 def calibrate(net: Net, raw: np.ndarray, labels: np.ndarray, langs: list) -> None:
     """Fit the score's scale and shift by logistic regression, then a threshold for each language by F1."""
-    a, b = 1.0, 0.0
-    for _ in range(30):  # Newton steps with a weak pull towards the start
-        p = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
+    middle, spread = raw.mean(), max(raw.std(), 1e-6)
+    x, (a, b) = (raw - middle) / spread, (1.0, 0.0)
+
+    def loss(a: float, b: float) -> float:
+        z = a * x + b
+        return float((np.logaddexp(0, z) - labels * z).sum() + PULL / 2 * ((a - 1) ** 2 + b * b))
+
+    for _ in range(50):  # Newton steps, shortened until they help
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
         w, d = p * (1 - p), p - labels
-        g = np.array([d @ raw + PULL * (a - 1), d.sum() + PULL * b])
-        h = np.array([[w @ (raw * raw) + PULL, w @ raw], [w @ raw, w.sum() + PULL]])
+        g = np.array([d @ x + PULL * (a - 1), d.sum() + PULL * b])
+        h = np.array([[w @ (x * x) + PULL, w @ x], [w @ x, w.sum() + PULL]])
         step = np.linalg.solve(h, g)
+        while loss(a - step[0], b - step[1]) > loss(a, b) and np.abs(step).max() > 1e-9:
+            step /= 2
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-6:
             break
-    net.scale, net.shift = float(max(a, 1e-3)), float(b)
+    a = max(a, 1e-3)
+    net.scale, net.shift = float(a / spread), float(b - a * middle / spread)
     score = 1 / (1 + np.exp(-np.clip(net.scale * raw + net.shift, -50, 50)))
     for lang in sorted({x for x in langs if x is not None}):
         own = np.array([x == lang for x in langs])
