@@ -123,12 +123,13 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
             F.when(F.col("_to").isNotNull(), F.struct(F.col("_to").alias("at"), F.lit(1).alias("guest"))),
         )
     )
-    dealt = extra.select("doc", "tag", "text", "fingerprint", F.explode(places).alias("_p"))
-    order = Window.partitionBy("_p.at._a", "_p.at._head").orderBy(F.desc("_p.guest"), "doc", "tag")
+    dealt = extra.select("doc", "tag", "text", "fingerprint", F.explode(places).alias("_p")).select(
+        "doc", "tag", "text", "fingerprint", F.col("_p.at._a").alias("_a"), F.col("_p.at._head").alias("_b"), F.col("_p.guest").alias("_guest")
+    )
+    order = Window.partitionBy("_a", "_b").orderBy(F.desc("_guest"), "doc", "tag")
     paired = (
-        dealt.withColumn("_next", F.lag("text").over(order))
-        .withColumn("next_fingerprint", F.lag("fingerprint").over(order))
-        .filter(F.col("_p.guest") == 0)
+        dealt.withColumns({"_next": F.lag("text").over(order), "next_fingerprint": F.lag("fingerprint").over(order)})
+        .filter("_guest = 0")
         .withColumn("n_chars", F.char_length("text").cast("long"))
         .withColumn("_cut", F.floor(F.col("n_chars") / 3).cast("int"))
         .withColumn(
