@@ -83,20 +83,19 @@ def _thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return over.groupBy("source").agg(F.min("_hash").alias("_threshold"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """Decide how often the mix takes each document: ``doc_id, size, source, source_size, target, copies, taken``.
+def count_words(text: Column) -> Column:
+    return F.size(F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(WORD), F.lit(0))).cast("long")
 
-    A target of at least the source's size takes every document once for each whole time, and documents
-    below the hash threshold once more.  A source's words fall short of its target by less than the size
-    of one document (or of the rows that share an id).  Null texts and texts without words have size 0 and are taken with
-    ``taken`` 0; a null source is a source; null ids share one hash; an empty table gives no rows.
+
+def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """A row for each source: ``source, source_size, target, _whole, _budget, _threshold``.
+
+    Every document of the source is taken ``_whole`` times, and those with a hash below ``_threshold`` once more.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = saved(
         docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
-            F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).cast("long").alias("size"),
+            count_words(F.col("text")).alias("size"),
             doc_hash(F.col("doc_id")).alias("_hash"),
         )
     )
@@ -104,19 +103,40 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
     whole = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))
     targets = source_targets(sizes, weights, most).withColumn("_whole", F.least(F.lit(most), whole).cast("long"))
     targets = saved(targets.withColumn("_budget", F.col("target") - F.col("_whole") * F.col("source_size")))
-    rows_out = lookup(rows, targets, ["source"])
-    rows_out = lookup(rows_out, _thresholds(rows, targets), ["source"])
+    return saved(lookup(targets, _thresholds(rows, targets), ["source"]))
+
+
+def copies(most: int = MOST) -> Column:
+    """How often a document with ``_hash`` is taken by its source's row of the plan."""
     more = (F.col("_whole") < most) & (F.col("_threshold").isNull() | (F.col("_hash") < F.col("_threshold")))
-    copies = F.col("_whole") + F.when(more & (F.col("_budget") > 0), 1).otherwise(0)
-    return rows_out.select(
-        "doc_id",
-        "size",
-        "source",
-        "source_size",
-        "target",
-        copies.cast("int").alias("copies"),
-        (F.col("size") * copies).cast("long").alias("taken"),
+    return (F.col("_whole") + F.when(more & (F.col("_budget") > 0), 1).otherwise(0)).cast("int")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """Decide how often the mix takes each document: ``doc_id, size, source, source_size, target, copies, taken``.
+
+    A target of at least the source's size takes every document once for each whole time, and documents
+    below the hash threshold once more.  A source's words fall short of its target by less than the size
+    of one document (or of the rows that share an id).  Null texts and texts without words have size 0 and are taken with
+    ``taken`` 0; a null source is a source; null ids share one hash; an empty table gives no rows.
+    """
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        count_words(F.col("text")).alias("size"),
+        doc_hash(F.col("doc_id")).alias("_hash"),
     )
+    rows = lookup(rows, mix_plan(docs, weights, most), ["source"]).withColumn("copies", copies(most))
+    taken = (F.col("size") * F.col("copies")).cast("long").alias("taken")
+    return rows.select("doc_id", "size", "source", "source_size", "target", "copies", taken)
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as the plan takes it, and not at all if it doesn't."""
+    plan = mix_plan(docs, weights, most).withColumnRenamed("source", "_source")
+    rows = docs.withColumns({"_source": F.col("source").cast("string"), "_hash": doc_hash(F.col("doc_id"))})
+    rows = lookup(rows, plan, ["_source"]).withColumn("_copies", copies(most)).filter("_copies > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 def mix_sql() -> str:

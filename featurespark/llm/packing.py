@@ -11,8 +11,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .mixing import count_words
 from .rank import ranked
-from .support import WORD, saved
+from .support import saved
 
 BUCKETS, TOKEN_BUDGET = 16, 65_536
 #: Lengths up to here have a bin of their own; above, a bin spans 1/64 of a power of two at most, which
@@ -55,10 +56,6 @@ def best_bounds(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buc
     return [*bounds, int(j)][::-1]
 
 
-def count_words(text: Column) -> Column:
-    return F.size(F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(WORD), F.lit(0))).cast("long")
-
-
 def length_buckets(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, tokens: Column | None = None) -> DataFrame:
     """Pack each row into a batch: ``doc_id, n_tokens, bucket, bucket_len, batch, slot, padding``.
 

@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import LEAST_BLOCKS, blocks_for
@@ -175,3 +175,16 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.when(F.col("component") != NO_ID, F.col("component")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stand for their near-duplicate class: those with its least doc_id, one row for each id.
+
+    A class without ids keeps one row.  All columns are kept as they are.
+    """
+    near = near_components(docs)
+    keep = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = keep.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct()
+    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(keep, "_id", "left_semi")
+    first = Window.partitionBy("_id").orderBy(F.xxhash64("text"))
+    return rows.withColumn("_row", F.row_number().over(first)).filter("_row = 1").select(*docs.columns)

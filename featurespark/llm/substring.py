@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .blocks import Records, answered, blocks_for, joined, resolve, scatter, take
 from .kernels import Chunk, Words, anchors, chunks, covered, find_words, gram_hashes, runs, window_starts, word_hashes
@@ -95,12 +96,12 @@ def _first_places(records: Records) -> tuple[Records, np.ndarray]:
     return records, records["doc"] == records["ref"]
 
 
-def rlz_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Parse every document against all with smaller ids: ``doc, tag, text, found``.
+def rlz_spans(docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Parse every document against all with smaller ids: ``doc, tag, text``, the columns ``carry``, and ``found``.
 
     ``found`` holds, for :func:`factors`, the matching windows of a document with their first places.
     """
-    rows = keyed(docs).withColumn("tag", F.col("tag").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    rows = keyed(docs, *carry).withColumn("tag", F.col("tag").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     blocks = blocks_for(docs)
 
     def read_anchors(batch: pa.RecordBatch) -> Iterator[Records]:
@@ -159,40 +160,65 @@ def factors(places: np.ndarray, length: int = LENGTH) -> np.ndarray:
     return np.stack([places[first, 0], places[last, 0] - places[first, 0] + length, places[first, 1], places[first, 2]], axis=1)
 
 
-def dedup_words(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
+def dedup_words(docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...] = (), with_text: bool = False) -> DataFrame:
     """Remove the words of windows that start in a document with a smaller id.
 
-    Returns ``doc_id, n_words, n_removed, n_factors, kept_sha256`` and, if asked, ``kept``: the kept words, joined
-    by one space.  A word is a run of other bytes than space and 0x09 to 0x0D.  Windows are judged on the
-    input.  A document repeats nothing by itself, and rows that share an id don't count as each other's
+    Returns ``doc_id, n_words, n_removed, n_factors, kept_sha256`` and, if asked, the columns ``carry`` and ``kept``: the
+    text as it was if nothing was removed, else the kept words joined by one space.  The hash is always that of the joined words.
+    A word is a run of other bytes than space and 0x09 to 0x0D.  Windows are judged on the input.
+    A document repeats nothing by itself, and rows that share an id don't count as each other's
     reference; a null id counts as larger than all others, so such rows lose what any document has, and is
     returned as null.  Null and empty texts have no words and the hash of the empty text.  Texts of any
     length are taken whole; an empty table gives no rows.
     """
-    schema = "doc long, n_words long, n_removed long, n_factors long, kept_sha256 string" + ", tag int, kept string" * with_text
+    parsed = rlz_spans(docs, length, carry)
+    fields = [f for f in parsed.schema.fields if f.name in carry]
+    schema = T.StructType([T.StructField("doc", T.LongType()), *[T.StructField(c, T.LongType()) for c in ("n_words", "n_removed", "n_factors")]])
+    schema = schema.add("kept_sha256", T.StringType())
+    for f in fields:
+        schema = schema.add(f)
+    if with_text:
+        schema = schema.add("kept", T.StringType())
+
+    def clean(text: bytes, places: np.ndarray) -> tuple:
+        words, spans = text.split(), factors(places, length)
+        kept = words
+        if len(spans):
+            gone = covered(spans[:, 0], spans[:, 1], len(words)).tolist()
+            kept = [w for w, x in zip(words, gone, strict=True) if not x]
+        joint = b" ".join(kept)
+        left = (joint if len(spans) else text).decode() if with_text else None
+        return len(words), len(words) - len(kept), len(spans), hashlib.sha256(joint).hexdigest(), left
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, doc = batch.column("found"), batch.column("doc")
-            out = []
-            for chunk in chunks(batch.column("text")):
-                for i in range(chunk.hi - chunk.lo):
-                    words = chunk.text(i).split()
-                    parsed = factors(joined(found, chunk.lo + i, np.int64, 3), length)
-                    kept = words
-                    if len(parsed):
-                        gone = covered(parsed[:, 0], parsed[:, 1], len(words))
-                        kept = [w for w, x in zip(words, gone.tolist(), strict=True) if not x]
-                    text = b" ".join(kept)
-                    out.append((len(words), len(words) - len(kept), len(parsed), hashlib.sha256(text).hexdigest(), text.decode() if with_text else ""))
+            found = batch.column("found")
+            out = [
+                clean(c.text(i), joined(found, c.lo + i, np.int64, 3)) for c in chunks(batch.column("text")) for i in range(c.hi - c.lo)
+            ]
             if not out:
                 continue
-            n, gone, n_factors, sha, text = zip(*out, strict=True)
-            columns = {"doc": doc, "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64())}
+            n, gone, n_factors, sha, left = zip(*out, strict=True)
+            columns = {"doc": batch.column("doc"), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64())}
             columns |= {"n_factors": pa.array(n_factors, pa.int64()), "kept_sha256": pa.array(sha)}
+            columns |= {f.name: batch.column(f.name) for f in fields}
             if with_text:
-                columns |= {"tag": batch.column("tag"), "kept": pa.array(text)}
+                columns["kept"] = pa.array(left, pa.string())
             yield pa.record_batch(columns)
 
-    result = rlz_spans(docs, length).mapInArrow(task, schema)
+    result = parsed.mapInArrow(task, schema)
     return result.select(public_id(), *result.columns[1:])
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with each text cleaned by :func:`dedup_words`, and ``n_chars`` as it then is; the other columns as they were.
+
+    A document of which nothing is left goes; one that had no words to begin with stays.
+    """
+    carry = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    inner = [f"_c{i}" for i in range(len(carry))]
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(x) for c, x in zip(carry, inner, strict=True)])
+    cleaned = dedup_words(rows, length, tuple(inner), with_text=True).filter("n_removed = 0 or n_removed < n_words")
+    columns = dict(zip(carry, inner, strict=True)) | {"text": "kept", "doc_id": "doc_id"}
+    made = {"n_chars": F.char_length("kept").cast("long").alias("n_chars")}
+    return cleaned.select(*[made[c] if c in made else F.col(columns[c]).alias(c) for c in docs.columns])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,17 +25,25 @@ def session(df: DataFrame) -> SparkSession:
     return spark
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster shares.
-
-    ``spark.checkpoint.dir`` is used as the session has it; only where none is set, as in tests, is
-    a folder made here.
-    """
-    spark = session(df)
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session, made here only where none is set, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a folder of its own in the shared folder, and reread."""
+    spark = session(df)
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(session(df))
     return df.checkpoint(eager=True)
 
 
