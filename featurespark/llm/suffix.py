@@ -29,6 +29,8 @@ from .support import keyed, public_id
 LENGTH = 400
 #: Bytes of an anchor gram, window starts in a stretch, and the depth of the multikey quicksort.
 GRAM, STRETCH, SHALLOW = 24, 64, 16
+#: Windows sorted at a time, or those of one core and place if they are more.
+WINDOWS = 1 << 18
 
 
 class BlindTrie:
@@ -205,17 +207,25 @@ def sort_stretches(records: Records) -> Records:
     row, before = _starts(one)
     proved = known[row]
     ask = crowd[row]
-    sorted_row, sorted_before = row[ask], before[ask]
-    k = np.arange(STRETCH - 1)
-    # a window without its core: the last `before` bytes of the left side, then the first of the right side
-    shift = STRETCH - 1 - sorted_before[:, None] + k
     both = np.concatenate([one["left"], one["right"]], axis=1)
-    strings = both[sorted_row[:, None], shift] if len(sorted_row) else np.zeros((0, STRETCH - 1), np.uint8)
-    order, equal = deep_shallow(strings, group[sorted_row] * STRETCH + sorted_before)
-    again = np.zeros(len(order), bool)
-    again[order[1:]] |= equal[1:]
-    again[order[:-1]] |= equal[1:]
-    proved[np.flatnonzero(ask)[again]] = True
+    at = np.flatnonzero(ask)
+    key = group[row[at]] * STRETCH + before[at]
+    at = at[np.argsort(key, kind="stable")]
+    key = group[row[at]] * STRETCH + before[at]
+    edges = runs(key)
+    lo = 0
+    while lo < len(at):
+        hi = int(edges[np.searchsorted(edges, min(lo + WINDOWS, len(at)))])
+        part = at[lo:hi]
+        # a window without its core: the last `before` bytes of the left side, then the first of the right side
+        strings = np.empty((len(part), STRETCH - 1), np.uint8)
+        for k in range(STRETCH - 1):
+            strings[:, k] = both[row[part], STRETCH - 1 - before[part] + k]
+        order, equal = deep_shallow(strings, key[lo:hi])
+        again = equal.copy()
+        again[:-1] |= equal[1:]
+        proved[part[order[again]]] = True
+        lo = hi
     # answers go to every record of the variant
     variant = np.repeat(np.arange(len(head)), times)
     row, before = row[proved], before[proved]
