@@ -87,17 +87,19 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
     rows = keyed(docs).withColumn("text", F.coalesce("text", F.lit("")))
     rows = rows.withColumn("_null", (F.col("doc") == NO_ID).cast("int"))
     low, high, count = rows.filter("_null = 0").agg(F.min("doc"), F.max("doc"), F.count("*")).first()
+    big = lambda x: F.lit(str(x)).cast("decimal(38,0)")  # noqa: E731  ids may span more than a long holds
     span = (high - low + 1) if count else 1
     coarse = min(COARSE, block_count(docs, 1 << 20, 1))
-    place = F.floor((F.col("doc") - F.lit(low or 0)).cast("decimal(38,0)") * coarse / F.lit(span).cast("decimal(38,0)"))
+    place = (F.col("doc").cast("decimal(20,0)") - big(low or 0)).cast("double") * coarse / float(span)
+    place = F.least(F.lit(coarse - 1), F.floor(place))
     rows = rows.withColumn("_a", F.when(F.col("_null") == 1, F.lit(coarse)).otherwise(place).cast("int"))
     ids = rows.drop("text")
     ranges = ids.groupBy("_a").agg(F.count("*").alias("_n"), F.min("doc").alias("_low"), F.max("doc").alias("_high"))
 
     def fine(df: DataFrame) -> DataFrame:
-        parts = F.ceil(F.col("_n") / BUCKET_ROWS).cast("decimal(38,0)")
-        wide = (F.col("_high") - F.col("_low") + 1).cast("decimal(38,0)")
-        at = F.floor((F.col("doc") - F.col("_low")).cast("decimal(38,0)") * parts / wide).cast("int")
+        exact = lambda c: F.col(c).cast("decimal(20,0)")
+        parts, wide = F.ceil(F.col("_n") / BUCKET_ROWS), (exact("_high") - exact("_low")).cast("double") + 1
+        at = F.least(parts - 1, F.floor((exact("doc") - exact("_low")).cast("double") * parts / wide)).cast("int")
         return lookup(df, ranges, ["_a"]).withColumn("_b", at).drop("_n", "_low", "_high")
 
     lasts = fine(ids).groupBy("_a", "_b").agg(F.max(F.struct("doc", "tag")).alias("_last"))

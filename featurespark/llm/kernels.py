@@ -85,8 +85,8 @@ class _Powers:
 
     def get(self, n: int) -> list[np.ndarray]:
         if len(self.tables[0]) < n:
-            n = max(n, 1 << 16)
-            self.tables = [np.cumprod(np.r_[U64(1), np.full(n - 1, b, U64)], dtype=U64) for b in self.bases]
+            size = max(n, 1 << 16)
+            self.tables = [np.cumprod(np.r_[U64(1), np.full(size - 1, b, U64)], dtype=U64) for b in self.bases]
         return [t[:n] for t in self.tables]
 
 

@@ -97,6 +97,7 @@ RULES = [
     ("MPL-2.0", ["mpl2"]),
     ("proprietary", ["reserved"]),
 ]
+ENDS = "[.!?:;]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -107,9 +108,9 @@ def normalise(sentence: str) -> str:
 def _numbered() -> tuple[list[str], dict[str, int]]:
     """Normalised sentences, and the number from 1 of each identifier.
 
-    A sentence of the table that itself splits (an abbreviation's full stop) is known by its first part.
+    A sentence of the table that itself splits (at a colon, say) is known by its longest part.
     """
-    known = [normalise(re.split(r"(?<=[.!?])\s+", s)[0]) for s in SENTENCES.values()]
+    known = [max(map(normalise, re.split(f"(?<={ENDS})\\s+", s)), key=len) for s in SENTENCES.values()]
     return known, {name: i + 1 for i, name in enumerate(SENTENCES)}
 
 
@@ -119,7 +120,7 @@ def _rule_keys() -> list[tuple[str, str]]:
 
 
 def _sentences(text: Column) -> Column:
-    parts = F.split(F.regexp_replace(text, "([.!?])[ \\t\\r\\n]+", "$1\n"), "\n", -1)
+    parts = F.split(F.regexp_replace(text, f"({ENDS})[ \\t\\r\\n]+", "$1\n"), "\n", -1)
     clean = lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " "))
     return F.filter(F.transform(parts, clean), lambda s: s != "")
 
@@ -163,7 +164,7 @@ def recognise_sql() -> str:
     quoted = ", ".join(f"'{x}'" for x in known)
     rules = ", ".join(f"CASE WHEN contains(key, '{key}') THEN '{name}' END" for name, key in _rule_keys())
     cut = lambda t: (
-        f"list_filter(list_transform(string_split(regexp_replace({t}, '([.!?])[ \\t\\r\\n]+', '\\1' || chr(10), 'g'), chr(10)), "
+        f"list_filter(list_transform(string_split(regexp_replace({t}, '({ENDS})[ \\t\\r\\n]+', '\\1' || chr(10), 'g'), chr(10)), "
         f"lambda s: trim(regexp_replace(translate(s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '')"
     )
     ids = lambda c: f"list_transform(list_filter({c}, lambda s: s IN ({quoted})), lambda s: list_position([{quoted}], s))"
