@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rank import lookup
-from .support import WORD, saved
+from .support import WORD, saved, unused
 
 #: Weights given to the sources in turn, and how often a document may be taken.
 WEIGHTS, MOST = (1, 2, 3), 3
@@ -106,10 +106,11 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return saved(lookup(targets, _thresholds(rows, targets), ["source"]))
 
 
-def copies(most: int = MOST) -> Column:
-    """How often a document with ``_hash`` is taken by its source's row of the plan."""
-    more = (F.col("_whole") < most) & (F.col("_threshold").isNull() | (F.col("_hash") < F.col("_threshold")))
-    return (F.col("_whole") + F.when(more & (F.col("_budget") > 0), 1).otherwise(0)).cast("int")
+def copies(most: int = MOST, names: dict[str, str] | None = None) -> Column:
+    """How often a document with ``_hash`` is taken by its source's row of the plan; ``names`` says where columns were renamed."""
+    col = lambda c: F.col((names or {}).get(c, c))
+    more = (col("_whole") < most) & (col("_threshold").isNull() | (col("_hash") < col("_threshold")))
+    return (col("_whole") + F.when(more & (col("_budget") > 0), 1).otherwise(0)).cast("int")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -133,10 +134,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as the plan takes it, and not at all if it doesn't."""
-    plan = mix_plan(docs, weights, most).withColumnRenamed("source", "_source")
-    rows = docs.withColumns({"_source": F.col("source").cast("string"), "_hash": doc_hash(F.col("doc_id"))})
-    rows = lookup(rows, plan, ["_source"]).withColumn("_copies", copies(most)).filter("_copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    plan = mix_plan(docs, weights, most)
+    # the plan's names must not meet those of the input
+    inner = unused(docs, *plan.columns, "_hash", "_copies")
+    names = dict(zip([*plan.columns, "_hash", "_copies"], inner, strict=True))
+    plan = plan.select(*[F.col(c).alias(names[c]) for c in plan.columns])
+    rows = docs.withColumns({names["source"]: F.col("source").cast("string"), names["_hash"]: doc_hash(F.col("doc_id"))})
+    rows = lookup(rows, plan, [names["source"]])
+    rows = rows.withColumn(names["_copies"], copies(most, names)).filter(F.col(names["_copies"]) > 0)
+    (copy,) = unused(rows, "_copy")
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(names["_copies"])))).select(*docs.columns)
 
 
 def mix_sql() -> str:

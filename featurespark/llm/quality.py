@@ -239,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Verdict | None:
     """Forests and thresholds from the ``MOST_ROWS`` labelled rows with the least hashes of their ids; None without any."""
     known = labels.filter("quality in (0, 1) and doc_id is not null").select(F.col("doc_id").alias("_id"), "quality")
     picked = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id", "quality").limit(MOST_ROWS))
-    sample = docs.join(picked, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "quality")
+    sample = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "quality")
     table = rule_statistics(sample, "quality").select("doc", "quality", "statistics").toArrow()
     if not table.num_rows:
         return None

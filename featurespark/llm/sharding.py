@@ -121,7 +121,11 @@ def shard_boxes(sharded: DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write the documents themselves, one folder for each shard, sorted along the curve within it."""
+    """Write the documents themselves, one folder for each shard, sorted along the curve within it.
+
+    Columns of the input named ``shard`` or ``slot`` are replaced.
+    """
+    docs = docs.drop("shard", "slot")
     text = F.coalesce(F.col("text"), F.lit(""))
     places = hilbert_shards(docs, shards).select(
         F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "shard", "slot"

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .blocks import LEAST_BLOCKS, blocks_for
 from .components import components
 from .kernels import chunks, mix, runs
-from .support import NO_ID, keyed, public_id, saved
+from .support import NO_ID, keyed, public_id, saved, unused
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 #: Width of each block of bits, from the lowest; ``DISTANCE + 2`` blocks, of which two stay equal.
@@ -183,8 +183,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     A class without ids keeps one row.  All columns are kept as they are.
     """
     near = near_components(docs)
+    name, row = unused(docs, "_id", "_row")
     keep = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = keep.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct()
-    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(keep, "_id", "left_semi")
-    first = Window.partitionBy("_id").orderBy(F.xxhash64("text"))
-    return rows.withColumn("_row", F.row_number().over(first)).filter("_row = 1").select(*docs.columns)
+    keep = keep.select(F.coalesce("doc_id", F.lit(NO_ID)).alias(name)).distinct()
+    rows = docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(keep, name, "left_semi")
+    first = Window.partitionBy(name).orderBy(F.xxhash64("text"))
+    return rows.withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1).select(*docs.columns)

@@ -64,6 +64,16 @@ def block_count(df: DataFrame, bytes_each: int, least: int = 4, most: int = 1 <<
     return min(most, max(least, -(-size // bytes_each)))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where the frame has such columns already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
