@@ -51,12 +51,16 @@ def entity(data_json: Column, entity_type: str) -> Column:
 
 
 def decode(raw: DataFrame, entity_type: str, json: str = "json", operations: tuple[str, ...] = ALLOWED_OPERATIONS) -> DataFrame:
-    """Add ``message`` and ``entity`` structs to the raw records; both are null where the record is invalid."""
-    decoded = raw.withColumn("message", message(F.col(json), entity_type, operations))
+    """Add ``message`` and ``entity`` structs to the raw records; both are null where the record is invalid.
+
+    Each struct comes out of a one-element ``explode``: what stands above then reads it as a column, where a
+    plain projection would be merged into every expression that uses it, over and over.
+    """
+    decoded = raw.withColumn("message", F.explode(F.array(message(F.col(json), entity_type, operations))))
     data = F.col("message.data_json")
     # a quoted JSON text as data is a string, not an object
     object_data = ~F.array_contains(F.json_object_keys(json), "schemaVersion") | _kind(F.col(json), "$.data").startswith("OBJECT")
-    return decoded.withColumn("entity", F.when(object_data, entity(data, entity_type)))
+    return decoded.withColumn("entity", F.explode(F.array(F.when(object_data, entity(data, entity_type)))))
 
 
 def is_delete(message: Column) -> Column:
