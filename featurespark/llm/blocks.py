@@ -21,8 +21,8 @@ from .kernels import runs
 from .support import block_count
 
 Records = dict[str, np.ndarray]
-#: Records that a map task gathers before it sends them.
-FLUSH = 1 << 20
+#: Bytes of records that a map task gathers before it sends them.
+FLUSH = 24 << 20
 #: Bytes of input for each block.
 BLOCK_BYTES, LEAST_BLOCKS = 16 << 20, 12
 PACKED = "block int, blob binary"
@@ -74,7 +74,7 @@ def scatter(
             for records in read(batch):
                 if len(records["doc"]):
                     parts.append(records)
-                    held += len(records["doc"])
+                    held += sum(v.nbytes for v in records.values())
                 if held >= FLUSH:
                     yield from send(parts)
                     parts, held = [], 0
@@ -116,5 +116,5 @@ def joined(found: pa.Array, i: int, dtype, width: int) -> np.ndarray:
     return np.frombuffer(data, dtype).reshape(-1, width)
 
 
-def blocks_for(docs: DataFrame) -> int:
-    return block_count(docs, BLOCK_BYTES, LEAST_BLOCKS)
+def blocks_for(docs: DataFrame, bytes_each: int = BLOCK_BYTES) -> int:
+    return block_count(docs, bytes_each, LEAST_BLOCKS)

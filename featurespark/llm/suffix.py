@@ -30,7 +30,9 @@ LENGTH = 400
 #: Bytes of an anchor gram, window starts in a stretch, and the depth of the multikey quicksort.
 GRAM, STRETCH, SHALLOW = 24, 64, 16
 #: Windows sorted at a time, or those of one core and place if they are more.
-WINDOWS = 1 << 18
+WINDOWS = 1 << 17
+#: Bytes of input for each block; the records with both sides are large.
+BLOCK_BYTES = 8 << 20
 
 
 class BlindTrie:
@@ -248,7 +250,7 @@ def suffix_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2 * STRETCH:
         raise ValueError(f"windows must have {2 * STRETCH} bytes at least")
     rows = keyed(docs).withColumn("tag", F.col("tag").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    blocks = blocks_for(docs)
+    blocks = blocks_for(docs, BLOCK_BYTES)
     core = length - STRETCH + 1
 
     def read_cores(batch: pa.RecordBatch) -> Iterator[Records]:
