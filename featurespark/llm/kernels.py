@@ -14,7 +14,7 @@ import numpy as np
 
 U64 = np.uint64
 #: Bytes of text handled at a time; a longer document is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
