@@ -16,9 +16,15 @@ NO_ID = (1 << 63) - 1
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+#: Rows of an Arrow batch at most; whole texts are long, and a batch is held by the JVM and by its worker.
+ARROW_ROWS, ARROW_SETTING = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def session(df: DataFrame) -> SparkSession:
-    """The frame's session, whose Python workers can import this package."""
+    """The frame's session, whose Python workers can import this package and get batches of ``ARROW_ROWS`` at most."""
     spark = df.sparkSession
+    if not 0 < int(spark.conf.get(ARROW_SETTING)) <= ARROW_ROWS:
+        spark.conf.set(ARROW_SETTING, str(ARROW_ROWS))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
@@ -80,6 +86,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
     """``doc`` and ``tag`` name a row without nulls: its id, and a hash of its text for rows that share an id."""
+    session(docs)
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
         F.xxhash64("text").alias("tag"),
