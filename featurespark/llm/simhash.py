@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import LEAST_BLOCKS, blocks_for
@@ -56,15 +56,15 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc, fp``: the SimHash of each whole text, as a signed long; 0 for texts without words."""
+    """``doc, tag, fp``: the SimHash of each whole text, as a signed long; 0 for texts without words."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(c.text(i), shingle) for c in chunks(batch.column("text")) for i in range(c.hi - c.lo)]
-            columns = {"doc": batch.column("doc"), "fp": pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())}
+            columns = {c: batch.column(c) for c in ("doc", "tag")} | {"fp": pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())}
             yield pa.record_batch(columns)
 
-    return keyed(docs).select("doc", "text").mapInArrow(task, "doc long, fp long")
+    return keyed(docs).mapInArrow(task, "doc long, tag long, fp long")
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -154,6 +154,15 @@ def near_links(distinct: DataFrame, blocks: int) -> DataFrame:
     return keys.groupBy("block").applyInArrow(block, "u long, v long")
 
 
+def near_classes(docs: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """``doc, tag, fp`` of each row, and ``fp, least, root``: the class of each fingerprint and the first row with it."""
+    rows = saved(fingerprints(docs, shingle))
+    distinct = saved(rows.groupBy("fp").agg(F.min(F.struct("doc", "tag")).alias("least")))
+    roots = components(near_links(distinct, max(LEAST_BLOCKS, blocks_for(docs))))
+    classes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return rows, saved(classes)
+
+
 def near_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, fingerprint, component_id``: classes of documents linked at 3 differing bits or fewer.
 
@@ -162,13 +171,8 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     are returned as null, and name a class (as null) only if it has no other id; repeated rows stay rows.
     An empty table gives no rows.
     """
-    rows = saved(fingerprints(docs, shingle))
-    distinct = saved(rows.groupBy("fp").agg(F.min("doc").alias("least")))
-    roots = components(near_links(distinct, max(LEAST_BLOCKS, blocks_for(docs))))
-    classes = saved(
-        distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    )
-    least = classes.groupBy("root").agg(F.min("least").alias("component"))
+    rows, classes = near_classes(docs, shingle)
+    least = classes.groupBy("root").agg(F.min("least.doc").alias("component"))
     named = classes.join(least, "root").select("fp", "component")
     return rows.join(named, "fp").select(
         public_id(),
@@ -178,14 +182,14 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their near-duplicate class: those with its least doc_id, one row for each id.
+    """The rows of ``docs`` that stand for their near-duplicate class: of each class the first by doc_id, then by hash of the text.
 
-    A class without ids keeps one row.  All columns are kept as they are.
+    Null ids stand after all others.  Every class keeps one row, with or without ids, and also where an id is
+    shared with another class.  All columns are kept as they are.
     """
-    near = near_components(docs)
-    name, row = unused(docs, "_id", "_row")
-    keep = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = keep.select(F.coalesce("doc_id", F.lit(NO_ID)).alias(name)).distinct()
-    rows = docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(keep, name, "left_semi")
-    first = Window.partitionBy(name).orderBy(F.xxhash64("text"))
-    return rows.withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1).select(*docs.columns)
+    _, classes = near_classes(docs)
+    doc, tag = unused(docs, "_doc", "_tag")
+    keep = classes.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.doc").alias(doc), F.col("least.tag").alias(tag))
+    rows = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), tag: F.xxhash64("text")})
+    # rows that share id and text are one class, of which partial aggregates keep one
+    return rows.join(keep, [doc, tag], "left_semi").dropDuplicates([doc, tag]).select(*docs.columns)

@@ -1,6 +1,7 @@
 """Substring and near-duplicate removal against brute force."""
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -14,6 +15,8 @@ from featurespark.llm.simhash import Forest, fingerprint, links_in_buckets, near
 from featurespark.llm.substring import dedup_words, factors, rlz_spans, without_repeats
 from featurespark.llm.suffix import BlindTrie, deep_shallow, dedup_bytes
 
+from conftest import prose
+
 LAST = 2**63 - 1
 
 
@@ -170,6 +173,14 @@ def test_near_components(docs, clashing, none, rows):
     assert near_components(none).count() == 0 == one_of_each(none).count()
 
 
+def test_every_class_keeps_a_row(spark):
+    rng = random.Random(11)
+    texts = [prose(rng, 80) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (None, texts[3]), (4, texts[3]), (7, texts[4]), (7, texts[5])]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, kept)) == Counter([(None, t) for t in texts[:3]] + [(4, texts[3]), (7, texts[4]), (7, texts[5])])
+
+
 def test_links_lose_nothing():
     rng = np.random.default_rng(6)
     base = rng.integers(0, 2**63, 40).astype(np.uint64)
