@@ -181,13 +181,13 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that stand for their near-duplicate class: of each class the first by doc_id, then by hash of the text.
 
-    Null ids stand after all others.  Every class keeps one row, with or without ids, and also where an id is
+    ``classes`` are those of :func:`near_classes` unless given in the same form.  Null ids stand after all others.  Every class keeps one row, with or without ids, and also where an id is
     shared with another class.  All columns are kept as they are.
     """
-    _, classes = near_classes(docs)
+    classes = near_classes(docs)[1] if classes is None else classes
     doc, tag = unused(docs, "_doc", "_tag")
     keep = classes.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.doc").alias(doc), F.col("least.tag").alias(tag))
     rows = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), tag: F.xxhash64("text")})

@@ -1,5 +1,6 @@
 """The pipeline's stages, one after the other, and the registered queries."""
 
+import random
 from pathlib import Path
 
 import pytest
@@ -23,6 +24,43 @@ def test_stages(spark):
     assert packed.count() == docs.count()
 
 
+def slow_roots(texts):
+    words = [(t or "").lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    up = list(range(len(texts)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                up[y] = x
+    return [find(i) for i in range(len(texts))]
+
+
+def test_near_duplicates_by_brute_force(spark):
+    rng = random.Random(12)
+    texts = ["", None, " \n", "one", "One", "a b c d", "a b c d e"]
+    for _ in range(25):  # a text and copies of it with some words changed
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(20, 200))]
+        texts.append(" ".join(base))
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(rng.randrange(0, max(2, len(base) // 40) + 1)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(3000)}"
+            texts.append(" ".join(copy))
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(set(slow_roots(texts)))
+    assert 30 < len(want) < len(texts) - 50
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == want
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
