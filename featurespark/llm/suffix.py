@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Records, answered, blocks_for, joined, resolve, scatter, take
+from .blocks import ANSWER, Records, answered, blocks_for, joined, resolve, scatter, take
 from .kernels import Chunk, anchors, byte_codes, chunks, covered, gram_hashes, runs, span_hashes, window_starts
 from .substring import live_anchors, row_ids, row_records, shared_anchors
 from .support import keyed, public_id
@@ -278,7 +278,22 @@ def suffix_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     live = resolve(scatter(rows, read_cores, _by_place(live_anchors), blocks), _by_place(shared_anchors), lambda r: r["pos"])
     asked = answered(rows, live).filter(F.col("found").isNotNull())
     spans = lambda r: np.stack([r["from"], r["count"]], axis=1).astype(np.int64)
-    return answered(rows, resolve(scatter(asked, read_sides, repeated_stretches, blocks), sort_stretches, spans))
+    found = resolve(scatter(asked, read_sides, repeated_stretches, blocks), sort_stretches, spans)
+    return answered(rows, found.unionByName(_twins(docs, length)))
+
+
+def _twins(docs: DataFrame, length: int) -> DataFrame:
+    """Answers for rows of equal id and text, which count as one place elsewhere: all of their windows repeat."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count = batch.column("size").to_numpy().astype(np.int64) - length + 1
+            found = pa.array([row.tobytes() for row in np.stack([np.zeros_like(count), count], axis=1)], pa.binary())
+            yield pa.record_batch({"doc": batch.column("doc"), "tag": batch.column("tag"), "found": found})
+
+    sizes = keyed(docs).groupBy("doc", "tag").agg(F.count("*").alias("times"), F.max(F.octet_length("text")).alias("size"))
+    cut = F.col("tag").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("tag")
+    return sizes.filter(f"times > 1 and size >= {length}").select("doc", cut, "size").mapInArrow(task, ANSWER)
 
 
 def _by_place(f):

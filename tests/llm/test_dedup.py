@@ -107,6 +107,14 @@ def test_bytes_of_odd_tables(clashing, none, rows):
     assert dedup_bytes(none).count() == 0 and dedup_bytes(clashing).count() == len(rows)
 
 
+def test_bytes_of_repeated_rows_alone(spark):
+    rng = random.Random(13)
+    a, b, c = (prose(rng, 150) for _ in range(3))
+    rows = [(1, a), (1, a), (None, b), (None, b), (2, c), (3, "short"), (3, "short")]
+    got = dedup_bytes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, got.collect())) == bytes_removed(rows, 400)
+
+
 def test_deep_shallow_sorts():
     rng = np.random.default_rng(4)
     for n, width, letters in ((0, 63, 2), (1, 63, 2), (400, 63, 2), (300, 20, 3)):
