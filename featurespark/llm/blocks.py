@@ -3,7 +3,8 @@
 Hashes of windows are too many for a row each.  A map task gathers them as columns, resolves what it can
 among its own records, and sends the rest as one compressed blob for each block; so a key that a third
 of all documents share reaches its block once from each task, not once from each document.  A block resolves
-all records of its keys and answers with one row for each document that it found something in.
+all records of its keys and answers with one row for each *run* of a document, which is what shares an anchor; so the
+answers grow with the input alone, and not with the number of blocks.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import runs
+from .kernels import mix, runs
 from .support import block_count
 
 Records = dict[str, np.ndarray]
@@ -25,8 +26,8 @@ Records = dict[str, np.ndarray]
 FLUSH = 24 << 20
 #: Bytes of input for each block.
 BLOCK_BYTES, LEAST_BLOCKS = 16 << 20, 12
-PACKED = "block int, blob binary"
-ANSWER = "doc long, tag int, found binary"
+PACKED = "block int, settled boolean, blob binary"
+ANSWER = "doc long, tag long, found binary"
 
 
 def pack(records: Records) -> bytes:
@@ -46,27 +47,37 @@ def take(records: Records, at: np.ndarray) -> Records:
     return {k: v[at] for k, v in records.items()}
 
 
+def distinct(records: Records) -> Records:
+    """One record for each place (and span of it): rows of equal id and text send the same ones.  Sorted by run and place."""
+    names = [k for k in ("doc", "tag", "run", "pos", "from") if k in records]
+    records = take(records, np.lexsort([records[k] for k in reversed(names)]))
+    return take(records, runs(*[records[k] for k in names])[:-1])
+
+
 def scatter(
     df: DataFrame, read: Callable[[pa.RecordBatch], Iterator[Records]], combine: Callable[[Records], tuple[Records, Records]], blocks: int
 ) -> DataFrame:
-    """Rows ``block, blob``.  ``combine`` parts a task's records into those to send by key and those settled.
+    """Rows ``block, blob``.  ``combine`` parts a task's records into those to send by ``deal`` and those settled.
 
-    Settled records, whose ``key`` no longer counts, go to a block that their document decides.
+    Settled records go to a block that their document decides.
     """
 
     def send(parts: list[Records]) -> Iterator[pa.RecordBatch]:
-        records = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
-        out, settled = combine(records)
-        out["settled"], settled["settled"] = np.zeros(len(out["doc"]), bool), np.ones(len(settled["doc"]), bool)
-        to = np.r_[(out["key"] >> np.uint64(20)) % np.uint64(blocks), settled["doc"].astype(np.uint64) % np.uint64(blocks)].astype(np.int32)
-        merged = {k: np.concatenate([out[k], settled[k]]) for k in out}
-        order = np.lexsort((merged["pos"], merged["tag"], merged["doc"], to))
-        to, merged = to[order], take(merged, order)
-        edges = np.searchsorted(to, np.arange(blocks + 1))
-        for b in range(blocks):
-            if edges[b] < edges[b + 1]:
-                blob = pack({k: v[edges[b] : edges[b + 1]] for k, v in merged.items()})
-                yield pa.record_batch({"block": pa.array([b], pa.int32()), "blob": pa.array([blob], pa.binary())})
+        records = distinct({k: np.concatenate([p[k] for p in parts]) for k in parts[0]})
+        parts.clear()
+        for done, some in zip((False, True), combine(records), strict=True):
+            deal = some.pop("deal")
+            if done:
+                deal = mix(some["doc"].astype(np.uint64) ^ some["tag"].view(np.uint64))
+            to = (deal >> np.uint64(20)) % np.uint64(blocks)
+            order = np.argsort(to, kind="stable")
+            to, some = to[order], take(some, order)
+            edges = runs(to)
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                blob = pack({k: v[lo:hi] for k, v in some.items()})
+                yield pa.record_batch(
+                    {"block": pa.array([int(to[lo])], pa.int32()), "settled": pa.array([done]), "blob": pa.array([blob], pa.binary())}
+                )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -77,27 +88,39 @@ def scatter(
                     held += sum(v.nbytes for v in records.values())
                 if held >= FLUSH:
                     yield from send(parts)
-                    parts, held = [], 0
+                    held = 0
         if parts:
             yield from send(parts)
 
     return df.mapInArrow(task, PACKED)
 
 
-def resolve(packed: DataFrame, settle: Callable[[Records], Records], code: Callable[[Records], np.ndarray]) -> DataFrame:
-    """``doc, tag, found``: by document, the rows of ``code`` for what ``settle`` keeps of a block's records, as bytes."""
+def _binary(rows: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """``rows[edges[i]:edges[i + 1]]`` as the bytes of value ``i``."""
+    rows = np.ascontiguousarray(rows)
+    width = rows.itemsize * (rows.shape[1] if rows.ndim > 1 else 1)
+    offsets = (edges * width).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(rows.view(np.uint8).reshape(-1))])
+
+
+def resolve(packed: DataFrame, settle: Callable[[Records], Records], code: Callable[[Records], tuple[Records, np.ndarray]]) -> DataFrame:
+    """``doc, tag, found``: for each document and ``run``, what ``code`` makes of the records that ``settle`` keeps, as bytes.
+
+    ``code`` gets them sorted by place and returns records and a row of numbers for each.
+    """
 
     def block(table: pa.Table) -> pa.Table:
-        records = unpack(x.as_py() for x in table.column("blob"))
-        done = records.pop("settled")
-        kept = [take(records, done), settle(take(records, ~done))]
-        records = {k: np.concatenate([x[k] for x in kept]) for k in kept[0]}
-        records = take(records, np.lexsort((records["pos"], records["tag"], records["doc"])))
-        rows = np.ascontiguousarray(code(records))
-        edges = runs(records["doc"], records["tag"])
+        done, kept = table.column("settled").to_numpy(), []
+        for settled in (True, False):
+            part = table.column("blob").filter(pa.array(done == settled))
+            if len(part):
+                records = unpack(x.as_py() for x in part)
+                kept.append(records if settled else settle(records))
+        records = {k: np.concatenate([x.pop(k) for x in kept]) for k in set(kept[0]).intersection(*kept)}
+        records, rows = code(distinct(records))
+        edges = runs(records["doc"], records["tag"], records["run"])
         first = edges[:-1]
-        found = [rows[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        columns = [pa.array(records["doc"][first], pa.int64()), pa.array(records["tag"][first], pa.int32()), pa.array(found, pa.binary())]
+        columns = [pa.array(records["doc"][first], pa.int64()), pa.array(records["tag"][first], pa.int64()), _binary(rows, edges)]
         return pa.table(columns, names=["doc", "tag", "found"])
 
     return packed.groupBy("block").applyInArrow(block, ANSWER)

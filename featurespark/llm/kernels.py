@@ -76,8 +76,12 @@ def _byte_codes(salt: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=U64) * U64(_BASES[salt]) + U64(salt))
 
 
+#: Powers of a base that a worker keeps.
+KEPT_POWERS = 1 << 20
+
+
 class _Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, grown as they are needed."""
+    """Powers of an odd base and of its inverse modulo 2**64, grown as they are needed, and kept up to a bound."""
 
     def __init__(self, base: int) -> None:
         self.bases = (base, pow(base, -1, 1 << 64))
@@ -86,7 +90,10 @@ class _Powers:
     def get(self, n: int) -> list[np.ndarray]:
         if len(self.tables[0]) < n:
             size = max(n, 1 << 16)
-            self.tables = [np.cumprod(np.r_[U64(1), np.full(size - 1, b, U64)], dtype=U64) for b in self.bases]
+            tables = [np.cumprod(np.r_[U64(1), np.full(size - 1, b, U64)], dtype=U64) for b in self.bases]
+            if n > KEPT_POWERS:
+                return [t[:n] for t in tables]
+            self.tables = tables
         return [t[:n] for t in self.tables]
 
 

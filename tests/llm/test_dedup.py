@@ -3,16 +3,18 @@
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 import xxhash
 
-from featurespark.llm import suffix
+from featurespark.llm import blocks, substring, suffix
 from featurespark.llm.components import components
 from featurespark.llm.kernels import anchors, covered, sliding_min, span_hashes
 from featurespark.llm.simhash import Forest, fingerprint, links_in_buckets, near_components, one_of_each, pivot_table
-from featurespark.llm.substring import dedup_words, factors, rlz_spans, without_repeats
+from featurespark.llm.blocks import joined
+from featurespark.llm.substring import dedup_words, duplicate_words, factors, places_of, rlz_places, without_repeats
 from featurespark.llm.suffix import BlindTrie, deep_shallow, dedup_bytes
 
 from conftest import prose
@@ -59,16 +61,67 @@ def test_words(docs, rows, length):
     assert Counter(map(tuple, got)) == windows_removed(rows, length)
 
 
-def test_factors_point_at_equal_words(docs, rows):
+def slow_parse(places, length):
+    """Greedy parse, word by word: ``places`` maps a window's start to its place in the reference."""
+    out, at = [], 0
+    while at <= max(places, default=-1):
+        if at not in places:
+            at += 1
+            continue
+        (ref, ref_pos), n = places[at], length
+        while places.get(at + n - length + 1) == (ref, ref_pos + n - length + 1):
+            n += 1
+        out.append((at, n, ref, ref_pos))
+        at += n
+    return out
+
+
+def test_parse(docs, rows):
     words = {d: (t or "").split() for d, t, *_ in rows if d is not None}
-    seen = 0
-    for r in rlz_spans(docs).collect():
-        places = np.frombuffer(b"".join(r.found or []), np.int64).reshape(-1, 3)
-        for start, n, ref, ref_start in factors(places).tolist():
-            own = (r.text or "").split()[start : start + n]
-            assert n >= 13 and ref < r.doc and own == words[ref][ref_start : ref_start + n]
-            seen += 1
-    assert seen > 5
+    seen = crossed = 0
+    for batch in rlz_places(docs).toArrow().to_batches():
+        for i, (doc, text) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), strict=True)):
+            pieces, own = joined(batch.column("found"), i, np.int64, 4), (text or "").split()
+            places = {s: (ref, at) for s, ref, at in places_of(pieces).tolist()}
+            found, across = factors(pieces)
+            assert list(map(tuple, found.tolist())) == slow_parse(places, 13)
+            ends = [s + n for s, n, *_ in found.tolist()]
+            assert all(a <= b for a, b in zip(ends, found[1:, 0].tolist(), strict=False))  # no overlap
+            for start, n, ref, ref_start in found.tolist():
+                assert n >= 13 and ref < doc and own[start : start + n] == words[ref][ref_start : ref_start + n]
+                seen += 1
+            assert all(any(s < e < s + 13 for e in ends) for s in across.tolist())
+            crossed += len(across)
+            covered_words = {k for s in places for k in range(s, s + 13)}
+            assert set(np.flatnonzero(duplicate_words(pieces, len(own))[1]).tolist()) == covered_words
+    assert seen > 5 and crossed > 0
+
+
+def test_parse_across_boundaries():
+    pieces = np.array([[0, 3, 1, 10], [3, 2, 2, 50], [9, 1, 4, 0], [20, 30, 5, 7]])
+    found, across = factors(pieces)
+    assert found.tolist() == [[0, 15, 1, 10], [20, 42, 5, 7]] and across.tolist() == [3, 4, 9]
+    assert duplicate_words(pieces, 70)[1].sum() == 62
+
+
+def test_answers_follow_the_input_and_not_the_blocks(docs, monkeypatch):
+    counts = []
+    for bytes_each in (1 << 30, 1):
+        monkeypatch.setattr(blocks, "LEAST_BLOCKS", 2 if bytes_each > 1 else 64)
+        counts.append([])
+        for module in (substring, suffix):
+            original = module.answered
+
+            def spy(rows, answers, original=original):
+                counts[-1].append(answers.count())
+                return original(rows, answers)
+
+            monkeypatch.setattr(module, "answered", spy)
+        dedup_words(docs).count()
+        dedup_bytes(docs).count()
+        monkeypatch.undo()
+    few, many = counts
+    assert len(few) == 4 and all(b <= a * 1.5 for a, b in zip(few, many, strict=True))
 
 
 def test_cleaned_documents(docs, clashing, none, rows):
@@ -128,6 +181,60 @@ def test_deep_shallow_sorts():
         assert equal.tolist() == [i > 0 and keys[i] == keys[i - 1] for i in range(n)]
 
 
+def test_sorting_proves_every_window(docs, rows, monkeypatch):
+    """What sort_stretches keeps is what neighbours in the order of deep_shallow prove, counted by brute force."""
+    monkeypatch.setattr(suffix, "deep_shallow", lambda strings, group: (np.argsort(group, kind="stable"), np.zeros(len(group), bool)))
+    rng = np.random.default_rng(3)
+    n = 40
+    base = {
+        "doc": np.arange(n), "tag": np.zeros(n, np.int64), "key": np.repeat(np.arange(4, dtype=np.uint64), 10), "key2": np.zeros(n, np.uint32),
+        "pos": np.full(n, 100), "run": np.full(n, 100), "left": rng.integers(97, 99, (n, 63)).astype(np.uint8),
+        "right": rng.integers(97, 99, (n, 63)).astype(np.uint8), "n_left": np.full(n, 63, np.uint8), "n_right": np.full(n, 63, np.uint8),
+        "known": np.zeros(n, bool),
+    }
+    assert len(suffix.sort_stretches(dict(base))["doc"]) == 0  # a sorter that finds nothing equal proves nothing
+    monkeypatch.undo()
+    base["left"][5:10] = base["left"][0]
+    base["right"][5:8] = base["right"][0]
+    base["left"][12:15, 20:] = base["left"][11, 20:]
+    base["right"][12:15, :25] = base["right"][11, :25]
+    got = Counter()
+    out = suffix.sort_stretches({k: v.copy() for k, v in base.items()})
+    for d, a, m in zip(out["doc"].tolist(), out["from"].tolist(), out["count"].tolist(), strict=True):
+        got.update({(d, a + i): 1 for i in range(m)})
+    windows = {}
+    for d in range(n):
+        both = bytes(base["left"][d]) + b"|" + bytes(base["right"][d])
+        for before in range(64):
+            text = both[63 - before : 63] + both[64 : 64 + 63 - before]
+            windows.setdefault((int(base["key"][d]), before, text), []).append((d, 100 - before))
+    want = {x for places in windows.values() if len(places) > 1 for x in places}
+    assert set(got) == want and len(want) > 300
+
+
+def test_memory_of_a_flush():
+    import subprocess
+    import sys
+
+    code = """
+import resource, sys
+import numpy as np
+sys.path.insert(0, %r)
+from featurespark.llm import suffix
+n = (24 << 20) // 160
+rng = np.random.default_rng(1)
+records = {"doc": np.sort(rng.integers(0, 5000, n)), "tag": np.zeros(n, np.int64), "key": rng.integers(0, n // 2, n).astype(np.uint64),
+    "key2": np.zeros(n, np.uint32), "pos": np.arange(n), "run": np.arange(n), "left": rng.integers(0, 2, (n, 63)).astype(np.uint8),
+    "right": rng.integers(0, 255, (n, 63)).astype(np.uint8), "n_left": np.full(n, 63, np.uint8), "n_right": np.full(n, 63, np.uint8)}
+suffix.repeated_stretches(suffix.take(records, np.arange(10)))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+suffix.repeated_stretches(records)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+""" % str(Path(suffix.__file__).resolve().parents[2])
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 150
+
+
 def test_blind_trie():
     rng = np.random.default_rng(5)
     texts = [bytes(rng.integers(97, 99, 12).astype(np.uint8)) for _ in range(200)]
