@@ -70,7 +70,7 @@ def scatter(
             if done:
                 deal = mix(some["doc"].astype(np.uint64) ^ some["tag"].view(np.uint64))
             to = (deal >> np.uint64(20)) % np.uint64(blocks)
-            order = np.argsort(to, kind="stable")
+            order = np.lexsort((some["pos"], some["tag"], some["doc"], to))  # by place, which packs well
             to, some = to[order], take(some, order)
             edges = runs(to)
             for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
