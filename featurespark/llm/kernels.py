@@ -137,6 +137,73 @@ def word_hashes(chunk: Chunk, words: Words, salt: int = 0) -> np.ndarray:
     return span_hashes(_byte_codes(salt)[chunk.buf], words.start, words.end, salt)
 
 
+def joined_words(chunk: Chunk, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a chunk one after the other, each followed by one space, and where each begins (then the end)."""
+    size = words.end - words.start
+    begin = np.r_[0, np.cumsum(size + 1)]
+    out = np.full(begin[-1], 32, np.uint8)
+    word = np.repeat(np.arange(len(size)), size)
+    ahead = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
+    out[begin[word] + ahead] = chunk.buf[words.start[word] + ahead]
+    return out, begin
+
+
+# Fixed values of XXH64.
+_X1, _X2, _X3, _X4, _X5 = (U64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turn(x: np.ndarray, n: int) -> np.ndarray:
+    return (x << U64(n)) | (x >> U64(64 - n))
+
+
+def xxh64(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """XXH64 of ``buf[start:end]`` for each pair; spans of 32 bytes and more go to the library one by one."""
+    import xxhash
+
+    size = end - start
+    out = np.empty(len(size), U64)
+    long = np.flatnonzero(size >= 32)
+    if len(long):
+        data = buf.tobytes()
+        out[long] = [xxhash.xxh64_intdigest(data[a:b], seed) for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)]
+    short = np.flatnonzero(size < 32)
+    if not len(short):
+        return out
+    padded = np.zeros(len(buf) + 16, np.uint8)
+    padded[: len(buf)] = buf
+    eight = np.empty(len(buf) + 8, U64)  # the eight bytes from each place on
+    for k in range(8):
+        part = padded[k : k + (len(buf) + 15 - k) // 8 * 8].view("<u8")
+        eight[k::8] = part[: len(eight[k::8])]
+    at, left = start[short], size[short]
+    h = U64(seed) + _X5 + left.astype(U64)
+    for _ in range(3):
+        go = np.flatnonzero(left >= 8)
+        if not len(go):
+            break
+        k1 = _turn(eight[at[go]] * _X2, 31) * _X1
+        h[go] = _turn(h[go] ^ k1, 27) * _X1 + _X4
+        at[go] += 8
+        left[go] -= 8
+    go = np.flatnonzero(left >= 4)
+    h[go] = _turn(h[go] ^ ((eight[at[go]] & U64(0xFFFFFFFF)) * _X1), 23) * _X2 + _X3
+    at[go] += 4
+    left[go] -= 4
+    for _ in range(3):
+        go = np.flatnonzero(left > 0)
+        if not len(go):
+            break
+        h[go] = _turn(h[go] ^ (padded[at[go]].astype(U64) * _X5), 11) * _X1
+        at[go] += 1
+        left[go] -= 1
+    h ^= h >> U64(33)
+    h *= _X2
+    h ^= h >> U64(29)
+    h *= _X3
+    out[short] = h ^ (h >> U64(32))
+    return out
+
+
 def gram_hashes(units: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     """Hashes of the ``n`` units from each place where as many are left in the chunk."""
     at = np.arange(max(0, len(units) - n + 1))

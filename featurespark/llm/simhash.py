@@ -1,13 +1,16 @@
-"""Near-duplicates by SimHash, with candidate pairs discarded by a table of distances to pivots.
+"""Near-duplicates by SimHash, with pairs proposed and discarded by tables of distances to pivots.
 
 The Hamming distances of a fingerprint to fixed reference fingerprints (*pivots*) are its coordinates.
 By the triangle inequality two fingerprints within ``d`` bits differ by ``d`` at most in every
 coordinate, so a pair with a larger difference anywhere is discarded without comparing the fingerprints,
 and the survivors are verified.
 
-Comparing all coordinates of all pairs would be quadratic, so pairs are proposed within buckets first:
-of five blocks of bits, three changed bits leave two blocks alone, so any linked pair shares one of the
-ten pairs of blocks.  Only distinct fingerprints take part; equal ones are one node from the start.
+Comparing the coordinates of all pairs would be quadratic, and full distances of random fingerprints lie too close together to part
+them.  So the table holds each distance in five parts, by blocks of the bits.  Three changed bits leave two of five blocks alone, and
+there all partial distances are equal; so any linked pair meets in a cell of equal partial distances to the first pivots, for
+one of the ten pairs of blocks.  A cell that is still large is parted by further pivots, by their full distances: into overlapping
+ranges, of which any two fingerprints within ``d`` share one.  Only distinct fingerprints take part; equal ones are one
+node from the start.
 """
 
 from __future__ import annotations
@@ -17,42 +20,61 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import LEAST_BLOCKS, blocks_for
 from .components import components
-from .kernels import chunks, mix, runs
+from .kernels import Chunk, chunks, find_words, joined_words, mix, runs, window_starts, xxh64
 from .support import NO_ID, keyed, public_id, saved, unused
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 #: Width of each block of bits, from the lowest; ``DISTANCE + 2`` blocks, of which two stay equal.
 BLOCKS = (13, 13, 13, 13, 12)
-#: Number of pivots, which are fixed pseudo-random fingerprints.
-PIVOTS = 16
-#: Candidate pairs compared at a time.
-PAIRS = 1 << 18
+#: Number of pivots, which are fixed pseudo-random fingerprints, and how many of them route.
+PIVOTS, ROUTING = 16, 5
+#: Fingerprints of a cell that are compared as they are, the width of a range of a larger one, and the candidate pairs compared at a time.
+CELL, RANGE, PAIRS = 256, 8, 1 << 18
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def lowered(chunk: Chunk) -> Chunk:
+    """The chunk with A-Z in lower case."""
+    return chunk._replace(buf=_LOWER[chunk.buf])
+
+
+def chunk_fingerprints(chunk: Chunk, shingle: int = SHINGLE) -> np.ndarray:
+    """SimHash of each text's word shingles, repeats included."""
+    chunk = lowered(chunk)
+    words = find_words(chunk)
+    joined, begin = joined_words(chunk, words)
+    n_words = np.diff(words.first)
+    few = np.flatnonzero((n_words > 0) & (n_words < shingle))
+    first = np.r_[window_starts(words.first, shingle), words.first[few]]
+    last = first + np.r_[np.full(len(first) - len(few), shingle), n_words[few]]
+    order = np.argsort(first, kind="stable")
+    first, last = first[order], last[order]
+    hashes = xxh64(joined, begin[first], begin[last] - 1, SEED)
+    out = np.zeros(len(n_words), np.uint64)
+    some = np.flatnonzero(n_words > 0)
+    edges = np.searchsorted(first, words.first[some])
+    ends = np.r_[edges[1:], len(first)]
+    bits = np.zeros((len(some), 64), np.int64)
+    part = 1 << 16
+    for lo in range(0, len(hashes), part):  # a slice of the shingles at a time, cut at the texts' edges too
+        rows = np.flatnonzero((edges < lo + part) & (ends > lo))
+        here = np.unpackbits(hashes[lo : lo + part].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        bits[rows] += np.add.reduceat(here, np.maximum(edges[rows] - lo, 0), axis=0, dtype=np.int64)
+    set_bits = bits * 2 > (ends - edges)[:, None]
+    out[some] = np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
+    return out
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """SimHash of a text's word shingles, repeats included."""
-    words = text.lower().split()
-    if not words:
-        return 0
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        hashes = [digest(b" ".join(words), SEED)]
-    else:
-        joined = b" ".join(words)
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1
-        starts = np.r_[0, ends[: -shingle] + 1]
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[shingle - 1 :].tolist(), strict=True)]
-    bits = np.zeros(64, np.int64)
-    for lo in range(0, len(hashes), 1 << 16):
-        part = np.array(hashes[lo : lo + (1 << 16)], np.uint64)
-        bits += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(bits * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+    """SimHash of one text."""
+    return int(chunk_fingerprints(Chunk(0, 1, np.frombuffer(text, np.uint8), np.array([0, len(text)])), shingle)[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -60,9 +82,9 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(c.text(i), shingle) for c in chunks(batch.column("text")) for i in range(c.hi - c.lo)]
-            columns = {c: batch.column(c) for c in ("doc", "tag")} | {"fp": pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())}
-            yield pa.record_batch(columns)
+            fps = [chunk_fingerprints(c, shingle).view(np.int64) for c in chunks(batch.column("text"))]
+            if fps:
+                yield pa.record_batch({c: batch.column(c) for c in ("doc", "tag")} | {"fp": pa.array(np.concatenate(fps))})
 
     return keyed(docs).mapInArrow(task, "doc long, tag long, fp long")
 
@@ -71,9 +93,26 @@ def pivots(n: int = PIVOTS) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def pivot_table(fps: np.ndarray) -> np.ndarray:
-    """Distances of each fingerprint to each pivot."""
-    return np.bitwise_count(fps[:, None] ^ pivots()[None, :]).astype(np.int16)
+def pivot_table(fps: np.ndarray, n: int = PIVOTS) -> np.ndarray:
+    """Distances of each fingerprint (first axis) to each pivot, in a part for each block of bits."""
+    out, at = np.empty((len(fps), n, len(BLOCKS)), np.uint8), 0
+    apart = fps[:, None] ^ pivots(n)[None, :]
+    for k, width in enumerate(BLOCKS):
+        out[:, :, k] = np.bitwise_count((apart >> np.uint64(at)) & np.uint64((1 << width) - 1))
+        at += width
+    return out
+
+
+def cells(table: np.ndarray, routing: int = ROUTING) -> np.ndarray:
+    """The ten cells of each fingerprint: which two blocks, and a hash of their distances to the first pivots."""
+    out = []
+    for n, pair in enumerate(combinations(range(len(BLOCKS)), DISTANCE - 1)):
+        key = np.full(len(table), n + 1, np.uint64)
+        for p in range(routing):
+            for k in pair:
+                key = key * np.uint64(16) + table[:, p, k]
+        out.append(mix(key * np.uint64(0x9E3779B97F4A7C15)))
+    return np.stack(out, axis=1)
 
 
 class Forest:
@@ -101,57 +140,85 @@ class Forest:
         return self.find(np.arange(len(self.up)))
 
 
-def links_in_buckets(key: np.ndarray, fps: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links within buckets of equal ``key``, as two arrays of fingerprints.
+def parted(key: np.ndarray, table: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+    """Members and cells, where cells of more than ``CELL`` are parted by the ranges of one pivot after the other.
 
-    A bucket is sorted by its first coordinate; partners of a row lie in a short run of that order,
+    A member goes to the range of its distance and to that of the distance ``distance`` above.  A pivot that parts nothing is passed over.
+    """
+    member, full = np.arange(len(key)), table.sum(axis=2, dtype=np.int64)
+    key = np.unique(key, return_inverse=True)[1]
+    for p in range(full.shape[1]):
+        size = np.bincount(key)
+        large = size[key] > CELL
+        if not large.any():
+            break
+        own, at = member[large], full[member[large], p]
+        low, high = at // RANGE, (at + distance) // RANGE
+        more = high > low
+        ranges = np.r_[low, high[more]]
+        again, cell = np.r_[own, own[more]], np.r_[key[large], key[large][more]]
+        new = cell * 16 + ranges + len(size)  # at most 64 / RANGE + 1 ranges
+        # a cell whose members all lie in one range, or of which a range holds them all, isn't made smaller
+        largest = np.zeros(len(size), np.int64)
+        name, where, count = np.unique(new, return_inverse=True, return_counts=True)
+        np.maximum.at(largest, cell, count[where])
+        helps = largest < size
+        keep, use = helps[cell], ~large | ~helps[key]
+        member, key = np.r_[member[use], again[keep]], np.r_[key[use], new[keep]]
+        key = np.unique(key, return_inverse=True)[1]
+    return member, key
+
+
+def links_in_cells(key: np.ndarray, fps: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of the links within cells of equal ``key``, as two arrays of fingerprints.
+
+    A cell is sorted by its first coordinate; partners of a row lie in a short run of that order,
     which is walked by offset for all rows at once, with rows leaving as their run ends.
     """
-    table = pivot_table(fps)
-    order = np.lexsort((fps, table[:, 0], key))
-    key, fps, table = key[order], fps[order], table[order]
     names, node = np.unique(fps, return_inverse=True)
+    parts = pivot_table(names)
+    member, key = parted(key, parts[node], distance)
+    table, node = parts.sum(axis=2, dtype=np.int16), node[member]
+    order = np.lexsort((node, table[node, 0], key))
+    key, node = key[order], node[order]
     forest = Forest(len(names))
-    active, offset = np.arange(len(fps)), 1
+    active, offset = np.arange(len(node)), 1
     while len(active):
-        active = active[active + offset < len(fps)]
+        active = active[active + offset < len(node)]
         other = active + offset
-        stays = (key[active] == key[other]) & (table[other, 0] - table[active, 0] <= distance)
+        stays = (key[active] == key[other]) & (table[node[other], 0] - table[node[active], 0] <= distance)
         active, other = active[stays], other[stays]
         for lo in range(0, len(active), PAIRS):
-            a, b = active[lo : lo + PAIRS], other[lo : lo + PAIRS]
+            a, b = node[active[lo : lo + PAIRS]], node[other[lo : lo + PAIRS]]
             near = (np.abs(table[a] - table[b]) <= distance).all(axis=1)
             a, b = a[near], b[near]
-            linked = np.bitwise_count(fps[a] ^ fps[b]) <= distance
-            forest.link(node[a[linked]], node[b[linked]])
+            linked = np.bitwise_count(names[a] ^ names[b]) <= distance
+            forest.link(a[linked], b[linked])
         offset += 1
     roots = forest.roots()
     below = np.flatnonzero(roots != np.arange(len(names)))
     return names[below], names[roots[below]]
 
 
-def block_keys(fp: Column) -> Column:
-    """The ten keys of a fingerprint: which two blocks, and their bits."""
-    at, parts = 0, []
-    for width in BLOCKS:
-        parts.append(F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1)))
-        at += width
-    pairs = list(combinations(range(len(BLOCKS)), DISTANCE - 1))
-    shifted = [F.shiftleft(F.lit(n).cast("long"), 32).bitwiseOR(F.shiftleft(parts[i], 13)).bitwiseOR(parts[j]) for n, (i, j) in enumerate(pairs)]
-    return F.array(*shifted)
-
-
 def near_links(distinct: DataFrame, blocks: int) -> DataFrame:
     """``u, v``: edges between the distinct fingerprints ``fp`` whose components are those of all links."""
 
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = batch.column("fp").to_numpy()
+            keys = cells(pivot_table(fps.view(np.uint64), ROUTING))
+            block = ((keys >> np.uint64(20)) % np.uint64(blocks)).astype(np.int32)
+            yield pa.record_batch(
+                {"block": block.ravel(), "key": keys.view(np.int64).ravel(), "fp": np.repeat(fps, keys.shape[1])}
+            )
+
     def block(table: pa.Table) -> pa.Table:
         key, fps = (table.column(c).to_numpy() for c in ("key", "fp"))
-        u, v = links_in_buckets(key, fps.view(np.uint64))
+        u, v = links_in_cells(key, fps.view(np.uint64))
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    keys = distinct.select("fp", F.explode(block_keys(F.col("fp"))).alias("key"))
-    keys = keys.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
-    return keys.groupBy("block").applyInArrow(block, "u long, v long")
+    routed = distinct.select("fp").mapInArrow(route, "block int, key long, fp long")
+    return routed.groupBy("block").applyInArrow(block, "u long, v long")
 
 
 def near_classes(docs: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:

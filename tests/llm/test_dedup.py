@@ -9,10 +9,10 @@ import numpy as np
 import pytest
 import xxhash
 
-from featurespark.llm import blocks, substring, suffix
+from featurespark.llm import blocks, simhash, substring, suffix
 from featurespark.llm.components import components
-from featurespark.llm.kernels import anchors, covered, sliding_min, span_hashes
-from featurespark.llm.simhash import Forest, fingerprint, links_in_buckets, near_components, one_of_each, pivot_table
+from featurespark.llm.kernels import anchors, covered, sliding_min, span_hashes, xxh64
+from featurespark.llm.simhash import DISTANCE, Forest, cells, fingerprint, links_in_cells, near_components, one_of_each, parted, pivot_table, pivots
 from featurespark.llm.blocks import joined
 from featurespark.llm.substring import dedup_words, duplicate_words, factors, places_of, rlz_places, without_repeats
 from featurespark.llm.suffix import BlindTrie, deep_shallow, dedup_bytes
@@ -296,17 +296,64 @@ def test_every_class_keeps_a_row(spark):
     assert Counter(map(tuple, kept)) == Counter([(None, t) for t in texts[:3]] + [(4, texts[3]), (7, texts[4]), (7, texts[5])])
 
 
-def test_links_lose_nothing():
+def clustered(n=40):
     rng = np.random.default_rng(6)
-    base = rng.integers(0, 2**63, 40).astype(np.uint64)
-    flips = (np.uint64(1) << rng.integers(0, 64, (40, 8, 3)).astype(np.uint64)).astype(np.uint64)
-    fps = np.unique(np.concatenate([base, np.bitwise_xor.reduce(flips, axis=2).ravel() ^ np.repeat(base, 8)]))
-    u, v = links_in_buckets(np.zeros(len(fps), np.int64), fps)
+    base = rng.integers(0, 2**63, n).astype(np.uint64)
+    flips = (np.uint64(1) << rng.integers(0, 64, (n, 8, 3)).astype(np.uint64)).astype(np.uint64)
+    return np.unique(np.concatenate([base, np.bitwise_xor.reduce(flips, axis=2).ravel() ^ np.repeat(base, 8)]))
+
+
+def classes(fps, u, v):
     place = {x: i for i, x in enumerate(fps.tolist())}
     forest = Forest(len(fps))
-    forest.link(np.array([place[x] for x in u.tolist()]), np.array([place[x] for x in v.tolist()]))
-    assert forest.roots().tolist() == slow_components(fps.tolist())
-    assert (np.abs(pivot_table(fps[:1]) - pivot_table(fps[:1] ^ np.uint64(7))) <= 3).all()
+    forest.link(np.array([place[x] for x in u.tolist()], int), np.array([place[x] for x in v.tolist()], int))
+    return forest.roots().tolist()
+
+
+@pytest.mark.parametrize("cell", [4, 256])
+def test_links_lose_nothing(cell, monkeypatch):
+    monkeypatch.setattr(simhash, "CELL", cell)
+    fps = clustered()
+    # one cell for all, parted by further pivots or not
+    assert classes(fps, *links_in_cells(np.zeros(len(fps), np.int64), fps)) == slow_components(fps.tolist())
+    # the ten cells that the pivots route to
+    keys = cells(pivot_table(fps))
+    assert classes(fps, *links_in_cells(keys.ravel().view(np.int64), np.repeat(fps, keys.shape[1]))) == slow_components(fps.tolist())
+
+
+def test_pivots_decide_the_candidates():
+    fps = clustered(150)
+    table = pivot_table(fps)
+    apart = fps[:, None] ^ pivots()[None, :]
+    assert (table.sum(axis=2) == np.bitwise_count(apart)).all()
+
+    def candidates(routing):
+        found = set()
+        keys = cells(table, routing)
+        for k in range(keys.shape[1]):
+            for name in np.unique(keys[:, k]):
+                at = np.flatnonzero(keys[:, k] == name).tolist()
+                found |= {(i, j) for x, i in enumerate(at) for j in at[:x]}
+        return found
+
+    linked = {(i, j) for i in range(len(fps)) for j in range(i) if int(fps[i] ^ fps[j]).bit_count() <= DISTANCE}
+    every, routed = candidates(0), candidates(simhash.ROUTING)
+    assert linked <= routed and len(every) == len(fps) * (len(fps) - 1) // 2 and len(routed) < len(every) / 50
+    # further pivots part a crowded cell, and lose no link either
+    member, key = parted(np.zeros(len(fps), np.int64), table)
+    cell_of = {}
+    for m, k in zip(member.tolist(), key.tolist(), strict=True):
+        cell_of.setdefault(m, set()).add(k)
+    assert np.bincount(key).max() < len(fps) and all(cell_of[i] & cell_of[j] for i, j in linked)
+
+
+def test_xxh64():
+    rng = np.random.default_rng(8)
+    buf = rng.integers(0, 256, 5000).astype(np.uint8)
+    start = rng.integers(0, 4900, 600)
+    end = start + np.r_[np.arange(100), rng.integers(0, 100, 500)]
+    want = [xxhash.xxh64_intdigest(buf[a:b].tobytes(), 42) for a, b in zip(start, end, strict=True)]
+    assert xxh64(buf, start, end, 42).tolist() == want and len(xxh64(buf[:0], start[:0], end[:0], 42)) == 0
 
 
 def test_long_chain(spark):
@@ -319,4 +366,6 @@ def test_long_chain(spark):
 
 def test_fingerprint_of_few_words():
     assert fingerprint(b"") == fingerprint(b" \n") == 0
+    long = " ".join(f"Wort{i % 977}é" for i in range(70_000))
+    assert fingerprint(long.encode()) == slow_fingerprint(long.replace("W", "w"))
     assert fingerprint(b"A b") == slow_fingerprint("a B") and fingerprint(b"a b c d") == slow_fingerprint("a b c d")
