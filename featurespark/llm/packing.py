@@ -1,7 +1,7 @@
 """Batches of documents of like length, with bucket bounds that minimise padding.
 
-A batch pads its rows to its bucket's length.  The histogram of lengths decides the buckets: dynamic
-programming over its bins finds the bounds with the least total padding for a number of buckets.  Inside
+A batch pads its rows to its bucket's length.  The global histogram of lengths decides the buckets: dynamic
+programming over its distinct lengths finds the bounds with the least total padding for a number of buckets.  Inside
 a bucket, batches of as many rows as the token budget allows are cut from ranks.
 """
 
@@ -16,9 +16,10 @@ from .rank import ranked
 from .support import saved
 
 BUCKETS, TOKEN_BUDGET = 16, 65_536
-#: Lengths up to here have a bin of their own; above, a bin spans 1/64 of a power of two at most, which
-#: bounds the histogram: 256 bins, and 64 for each further power of two.
-EXACT, STEPS = 256, 6
+#: Lengths up to here have a bin of their own; above, a bin spans a ``2 ** -STEPS`` part of a power of two at most.  That
+#: bounds the histogram to 65,536 bins, and 32,768 for each further power of two; so it is exact up to 65,536 tokens, and
+#: beyond that a bound lies at most 1/32,768 above the best one.
+EXACT, STEPS = 65_536, 15
 
 
 def length_bin(length: Column) -> Column:
@@ -33,27 +34,41 @@ def best_bounds(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buc
 
     ``lengths``: the longest row of each bin, ascending; ``counts`` and ``totals``: its rows and tokens.
     Of equal plans the one with fewer buckets counts.
+
+    A bucket of the bins i to j - 1 pads ``l[j] (r[j] - r[i]) - (t[j] - t[i])``, with the length of its last bin and the rows and
+    tokens before a bin.  For a fixed i that is a line in the length, and the slopes -r[i] fall as the lengths grow; so each
+    layer of the dynamic programme is one sweep over the lower hull of the lines, in exact integers.
     """
     n = len(lengths)
-    rows, tokens = np.r_[0, np.cumsum(counts, dtype=float)], np.r_[0, np.cumsum(totals, dtype=float)]
-    start = np.arange(n)[:, None]
-    # pad[i, j]: padding if one bucket holds the bins i to j
-    pad = lengths[None, :].astype(float) * (rows[None, 1:] - rows[start]) - (tokens[None, 1:] - tokens[start])
-    pad[np.tril_indices(n, -1)] = np.inf
-    best, choices = pad[0].copy(), []
-    for _ in range(min(buckets, n) - 1):
-        total = np.full((n, n), np.inf)
-        total[1:] = best[:-1, None] + pad[1:]
-        pick = np.argmin(total, axis=0)
-        value = total[pick, np.arange(n)]
-        choices.append(np.where(value < best, pick, -1))
-        best = np.minimum(best, value)
-    bounds, j = [], n - 1
-    for pick in reversed(choices):
-        if pick[j] > 0:
-            bounds.append(int(j))
-            j = int(pick[j]) - 1
-    return [*bounds, int(j)][::-1]
+    rows, tokens = [0, *np.cumsum(counts).tolist()], [0, *np.cumsum(totals).tolist()]
+    length = [0, *lengths.tolist()]
+    pad = [length[j] * rows[j] - tokens[j] for j in range(n + 1)]  # of one bucket up to bin j
+    best, choices, final = pad, [[0] * (n + 1)], [(pad[n], 1)]
+    for k in range(2, min(buckets, n) + 1):
+        now, pick, hull, head = [0] * (n + 1), [0] * (n + 1), [], 0
+        for j in range(k, n + 1):
+            i = j - 1
+            slope, height = -rows[i], best[i] + tokens[i]
+            while len(hull) - head >= 2:
+                (s1, h1, _), (s2, h2, _) = hull[-2], hull[-1]
+                # the middle line is never lowest if the outer ones cross at or before it
+                if (height - h1) * (s1 - s2) <= (h2 - h1) * (s1 - slope):
+                    hull.pop()
+                else:
+                    break
+            hull.append((slope, height, i))
+            x = length[j]
+            while len(hull) - head >= 2 and hull[head + 1][0] * x + hull[head + 1][1] <= hull[head][0] * x + hull[head][1]:
+                head += 1
+            now[j], pick[j] = hull[head][0] * x + hull[head][1] + pad[j], hull[head][2]
+        best = now
+        choices.append(pick)
+        final.append((best[n], k))
+    k, j, bounds = min(final)[1], n, []
+    for pick in reversed(choices[:k]):
+        bounds.append(j - 1)
+        j = pick[j]
+    return bounds[::-1]
 
 
 def length_buckets(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, tokens: Column | None = None) -> DataFrame:
@@ -82,7 +97,7 @@ def length_buckets(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_
     sizes = [int(counts[a : b + 1].sum()) for a, b in zip(starts, bounds, strict=True)]
     rows = rows.withColumn("bucket", bucket)
     pick = lambda values: F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), F.col("bucket") + 1)
-    rows = ranked(rows, "bucket", pick(sizes), [F.col("doc_id"), F.col("n_tokens")])
+    rows = ranked(rows, "bucket", pick(sizes), ["doc_id", "n_tokens"])
     capacity = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(pick(longest[bounds]), F.lit(1)))).cast("long")
     return rows.select(
         "doc_id",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rank import lookup, ranked
-from .support import saved
+from .support import block_count, saved
 
 #: Bits for each dimension; the grid has ``2 ** (3 * BITS)`` cells, which bounds the cell table.
 BITS = 4
@@ -67,25 +67,9 @@ def _place(df: DataFrame, column: str, out: str, rows: int) -> DataFrame:
     return lookup(df, values.select(column, step.alias(out)), [column])
 
 
-def hilbert_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Deal all rows of ``docs`` to ``shards`` runs of the curve; shard sizes in rows differ by one at most.
-
-    Returns ``doc_id, size, text_crc32, lang, source, curve, shard, slot``.  ``size`` is the UTF-8 length
-    plus 1, and 1 for a null text, whose checksum is that of the empty text.  Null ids, languages and
-    sources are values of their own; rows of one cell lie in the order of a hash, so a cell with any share of the rows
-    is split over tasks; repeated rows keep separate slots.  An empty table gives no rows; other columns
-    are ignored.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = saved(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            (F.octet_length(text) + 1).cast("long").alias("size"),
-            F.crc32(text.cast("binary")).alias("text_crc32"),
-            F.col("lang").cast("string").alias("lang"),
-            F.col("source").cast("string").alias("source"),
-        )
-    )
+def _along(rows: DataFrame, shards: int, order: list[str]) -> DataFrame:
+    """Add ``curve, shard, slot`` to rows with ``size, lang, source``; of all columns, equal rows are ranked as one."""
+    columns, rows = rows.columns, saved(rows)
     total = rows.count()
     rows = _place(_place(rows, "lang", "_lang", total), "source", "_source", total)
     steps = F.least(F.lit((1 << BITS) - 1), F.floor(F.log2("size"))).cast("int")
@@ -99,19 +83,38 @@ def hilbert_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         .withColumn("curve", hilbert_index(axes))
         .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     )
-    rows = lookup(rows, cells, ["_cell"])
-    rows = ranked(rows, "_cell", F.col("_rows"), [F.col("doc_id"), F.col("text_crc32"), F.col("size")])
+    rows = ranked(lookup(rows, cells, ["_cell"]), "_cell", F.col("_rows"), order)
     small, longer = total // shards, total % shards
     at, cut = F.col("_start") + F.col("rank"), longer * (small + 1)
     head = F.floor(at / (small + 1))
     tail = longer + F.floor((at - cut) / max(small, 1))
     shard = F.when(at < cut, head).otherwise(tail)
     first = F.when(F.col("shard") <= longer, F.col("shard") * (small + 1)).otherwise(cut + (F.col("shard") - longer) * small)
-    return (
-        rows.withColumn("shard", shard.cast("int"))
-        .withColumn("slot", (at - first).cast("long"))
-        .select("doc_id", "size", "text_crc32", "lang", "source", "curve", "shard", "slot")
-    )
+    rows = rows.withColumn("shard", shard.cast("int")).withColumn("slot", (at - first).cast("long"))
+    return rows.select(*columns, "curve", "shard", "slot")
+
+
+def _metadata(docs: DataFrame) -> list[Column]:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return [
+        F.col("doc_id").cast("long").alias("doc_id"),
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.col("lang").cast("string").alias("lang"),
+        F.col("source").cast("string").alias("source"),
+    ]
+
+
+def hilbert_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """Deal all rows of ``docs`` to ``shards`` runs of the curve; shard sizes in rows differ by one at most.
+
+    Returns ``doc_id, size, text_crc32, lang, source, curve, shard, slot``.  ``size`` is the UTF-8 length
+    plus 1, and 1 for a null text, whose checksum is that of the empty text.  Null ids, languages and
+    sources are values of their own; rows of one cell lie in the order of a hash, so a cell with any share of the rows
+    is split over tasks; repeated rows, however many, keep separate slots.  An empty table gives no rows; other columns
+    are ignored.
+    """
+    return _along(docs.select(*_metadata(docs)), shards, ["doc_id", "text_crc32", "size"])
 
 
 def shard_boxes(sharded: DataFrame) -> DataFrame:
@@ -120,17 +123,17 @@ def shard_boxes(sharded: DataFrame) -> DataFrame:
     return sharded.groupBy("shard").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes"), *ranges)
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write the documents themselves, one folder for each shard, sorted along the curve within it.
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, files: int | None = None) -> None:
+    """Write the documents themselves, one folder for each shard, sorted along the curve within each file.
 
-    Columns of the input named ``shard`` or ``slot`` are replaced.
+    Whole rows are ranked, so every row has a slot of its own; columns that can't be grouped by (maps) are not supported.
+    Each shard is cut into ranges of slots, of which a task writes one: ``files`` in all, by default one for each 128 MB of
+    input, and one for each shard at least.  Columns of the input named ``shard`` or ``slot`` are replaced.
     """
     docs = docs.drop("shard", "slot")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    places = hilbert_shards(docs, shards).select(
-        F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "shard", "slot"
-    ).dropDuplicates(["_id", "_crc"])
-    rows = docs.withColumn("_text_crc", F.crc32(text.cast("binary")))
-    rows = rows.join(places, rows["doc_id"].eqNullSafe(places["_id"]) & (rows["_text_crc"] == places["_crc"]))
-    rows = rows.drop("_id", "_crc", "_text_crc")
-    rows.repartition("shard").sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
+    inner = [f"_in_{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*[F.col(c).alias(x) for c, x in zip(docs.columns, inner, strict=True)], *_metadata(docs))
+    rows = _along(rows, shards, ["doc_id", "text_crc32", "size"])
+    rows = rows.select(*[F.col(x).alias(c) for c, x in zip(docs.columns, inner, strict=True)], "shard", "slot")
+    rows = rows.repartitionByRange(files or block_count(docs, 128 << 20, shards), "shard", "slot")
+    rows.sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)

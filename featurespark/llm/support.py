@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -16,15 +17,26 @@ NO_ID = (1 << 63) - 1
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
-#: Rows of an Arrow batch at most; whole texts are long, and a batch is held by the JVM and by its worker.
-ARROW_ROWS, ARROW_SETTING = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows and bytes of an Arrow batch at most; whole texts are long, and a batch is held by the JVM and by its worker.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Set the session's Arrow batches to ``BATCHES`` at most.
+
+    The settings count when a plan runs, so operators can't set and restore them; the queries and the pipeline call this, and
+    so should other callers with long texts.
+    """
+    for name, most in BATCHES.items():
+        now = str(spark.conf.get(name)).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
+    return spark
 
 
 def session(df: DataFrame) -> SparkSession:
-    """The frame's session, whose Python workers can import this package and get batches of ``ARROW_ROWS`` at most."""
+    """The frame's session, whose Python workers can import this package."""
     spark = df.sparkSession
-    if not 0 < int(spark.conf.get(ARROW_SETTING)) <= ARROW_ROWS:
-        spark.conf.set(ARROW_SETTING, str(ARROW_ROWS))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
@@ -32,10 +44,13 @@ def session(df: DataFrame) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session, made here only where none is set, as in tests."""
+    """The checkpoint folder of the session.  One is made here only in local mode, where driver and executors are one process."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.match(r"local(\[[^,]*(,[^,]*)?\])?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -81,7 +96,7 @@ def unused(df: DataFrame, *names: str) -> list[str]:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return bounded_batches(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
