@@ -3,7 +3,7 @@
 Every text has a vector of rule statistics (lengths, shares of symbols, capitals and repeats).  Random splits of a sample
 isolate unusual vectors early; a text's score falls with its mean path length over the trees.  Statistics of one kind
 share a forest, so that an oddity of one kind isn't averaged away among the others, and each forest has a
-threshold of its own, calibrated on labelled rows.
+threshold of its own, calibrated on all labelled rows through a histogram of their scores.
 """
 
 from __future__ import annotations
@@ -31,17 +31,17 @@ from .kernels import (
     window_starts,
     word_hashes,
 )
-from .support import keyed, public_id, session
+from .support import keyed, public_id, saved, session
 
 #: Fixed values of the base rules.
 SYMBOLS, WINDOW, LEAST_WORDS, MOST_REPEATED = "[#*$%&|<>]", 5, 10, 20
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 STATISTICS = ["mean_word", "symbol_share", "mark_share", "capital_share", "dup_line_share", "repeat_share", "distinct_share", "space_share"]
-#: The forests: the statistics of each, trees, rows of a tree, and labelled rows that all are fitted on at most.
+#: The forests: the statistics of each, trees, rows of a tree, and labelled rows that the trees are fitted on at most.
 KINDS = {"symbols": [1], "shouting": [2, 3], "repeats": [4, 5, 6], "shape": [0, 7]}
 TREES, TREE_ROWS, MOST_ROWS = 64, 256, 16_384
-#: Share of the labelled good rows that each threshold may drop.
-MAY_DROP = 0.0005
+#: Share of the labelled good rows that each threshold may drop, and bins of a score from 0 to 1.
+MAY_DROP, BINS = 0.0005, 8_192
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(SYMBOLS[1:-1].encode(), np.uint8)] = True
@@ -178,21 +178,18 @@ class Forest:
         return 2.0 ** (-total / len(self.column) / max(self.usual, 1e-9))
 
 
-def threshold(score: np.ndarray, good: np.ndarray, may_drop: float = MAY_DROP) -> float:
+def threshold(bins: np.ndarray, good: np.ndarray, bad: np.ndarray, may_drop: float = MAY_DROP) -> float:
     """The cut with the best balance of bad rows caught and good rows kept, among those that drop few good rows.
 
-    A row is dropped if its score is above the cut; infinite without rows of both labels.
+    ``bins``: ascending places of a score's bins, with the numbers of good and bad rows in each.  A row is dropped if its score is
+    above the cut; infinite without rows of both labels.
     """
-    if good.all() or not good.any():
+    if not good.sum() or not bad.sum():
         return float("inf")
-    order = np.argsort(-score, kind="stable")
-    s, g = score[order], good[order]
-    lost, caught = np.cumsum(g) / g.sum(), np.cumsum(~g) / (~g).sum()
-    gain = np.where((lost <= may_drop) & np.r_[s[1:] < s[:-1], True], caught - lost, -1.0)
+    lost, caught = np.cumsum(good[::-1]) / good.sum(), np.cumsum(bad[::-1]) / bad.sum()
+    gain = np.where(lost <= may_drop, caught - lost, -1.0)
     k = int(np.argmax(gain))
-    if gain[k] <= 0:
-        return float("inf")
-    return float((s[k] + s[k + 1]) / 2) if k + 1 < len(s) else -1.0
+    return float(np.nextafter(bins[::-1][k] / BINS, -1)) if gain[k] > 0 else float("inf")
 
 
 def rule_statistics(docs: DataFrame, *more: str) -> DataFrame:
@@ -217,36 +214,37 @@ def rule_statistics(docs: DataFrame, *more: str) -> DataFrame:
     return source.mapInArrow(task, schema.add("statistics", T.ArrayType(T.DoubleType())))
 
 
-@dataclass
-class Verdict:
-    """The forest and threshold of each kind."""
-
-    forests: dict[str, Forest]
-    cuts: dict[str, float]
+def fit(docs: DataFrame, labels: DataFrame) -> dict[str, Forest] | None:
+    """The forest of each kind from the ``MOST_ROWS`` labelled ids with the least hashes; None without any.
 
-    @classmethod
-    def fit(cls, rows: np.ndarray, good: np.ndarray) -> Verdict:
-        forests = {k: Forest.fit(rows[:, at]) for k, at in KINDS.items()}
-        return cls(forests, {k: threshold(f.score(rows[:, KINDS[k]]), good) for k, f in forests.items()})
-
-    def excess(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The largest score over its threshold (dropped where positive), and the kind that has it."""
-        over = np.stack([f.score(rows[:, KINDS[k]]) - self.cuts[k] for k, f in self.forests.items()])
-        return over.max(axis=0), over.argmax(axis=0)
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> Verdict | None:
-    """Forests and thresholds from the ``MOST_ROWS`` labelled rows with the least hashes of their ids; None without any."""
-    known = labels.filter("quality in (0, 1) and doc_id is not null").select(F.col("doc_id").alias("_id"), "quality")
-    picked = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id", "quality").limit(MOST_ROWS))
-    sample = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "quality")
-    table = rule_statistics(sample, "quality").select("doc", "quality", "statistics").toArrow()
+    Of several rows with one id, that with the least statistics counts.
+    """
+    known = _known(labels).select("_id").distinct()
+    picked = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id").limit(MOST_ROWS))
+    sample = docs.select("doc_id", "text").join(picked, F.col("doc_id").cast("long") == F.col("_id")).select("doc_id", "text")
+    table = rule_statistics(sample).groupBy("doc").agg(F.min("statistics").alias("statistics")).toArrow()
     if not table.num_rows:
         return None
     rows = np.array(table.column("statistics").to_pylist(), float)
-    good = np.array(table.column("quality").to_pylist()) == 1
-    order = np.lexsort((*rows.T, good, table.column("doc").to_numpy()))
-    return Verdict.fit(rows[order], good[order])
+    rows = rows[np.argsort(table.column("doc").to_numpy(), kind="stable")]
+    return {k: Forest.fit(rows[:, at]) for k, at in KINDS.items()}
+
+
+def _known(labels: DataFrame) -> DataFrame:
+    return labels.filter("quality in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id"), "quality")
+
+
+def _cuts(rated: DataFrame, labels: DataFrame) -> dict[str, float]:
+    """Each kind's threshold, from all labelled rows: both sides are narrow, and counts are summed before they are shuffled."""
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"_{k}").alias("score")) for k in KINDS])
+    rows = rated.join(_known(labels), F.col("doc") == F.col("_id")).select("quality", F.explode(kinds).alias("s"))
+    place = F.least(F.lit(BINS - 1), F.floor(F.col("s.score") * BINS)).cast("int")
+    counts = rows.groupBy(F.col("s.kind").alias("kind"), place.alias("bin")).agg(
+        F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")
+    )
+    found = counts.orderBy("kind", "bin").toPandas()
+    parts = {k: found[found["kind"] == k] for k in KINDS}
+    return {k: threshold(*(p[c].to_numpy() for c in ("bin", "good", "bad"))) for k, p in parts.items()}
 
 
 def rate_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -258,29 +256,33 @@ def rate_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labelled rows only the base rules decide, ``excess`` is 0 and ``kind`` null; texts of any length are read whole; null ids are
     returned as null, and repeated rows are rated alike.
     """
-    verdict = fit(docs, labels)
-    shared = session(docs).sparkContext.broadcast(verdict)
+    forests = fit(docs, labels)
+    shared = session(docs).sparkContext.broadcast(forests)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        verdict = shared.value
+        forests = shared.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = batch.column("statistics").flatten().to_numpy().reshape(-1, len(STATISTICS))
             columns = {c: batch.column(c) for c in ["doc", *COUNTS]}
-            if verdict:
-                excess, kind = verdict.excess(rows)
-                columns |= {"excess": pa.array(excess), "kind": pa.array(np.array(list(KINDS))[kind])}
-            else:
-                columns |= {"excess": pa.array(np.zeros(len(rows))), "kind": pa.nulls(len(rows), pa.string())}
+            for k, at in KINDS.items():
+                columns[f"_{k}"] = pa.array(forests[k].score(rows[:, at]) if forests else np.zeros(len(rows)))
             yield pa.record_batch(columns)
 
-    schema = "doc long, " + ", ".join(f"{c} long" for c in COUNTS) + ", excess double, kind string"
+    schema = "doc long, " + ", ".join(f"{c} long" for c in COUNTS) + ", " + ", ".join(f"_{k} double" for k in KINDS)
     rated = rule_statistics(docs).mapInArrow(task, schema)
+    if forests:
+        rated = saved(rated)
+        cuts = _cuts(rated, labels)
+        worst = F.greatest(*[F.struct((F.col(f"_{k}") - F.lit(cut)).alias("excess"), F.lit(k).alias("kind")) for k, cut in cuts.items()])
+    else:
+        worst = F.struct(F.lit(0.0).alias("excess"), F.lit(None).cast("string").alias("kind"))
     few = F.col("n_words") < LEAST_WORDS
     repeated = 100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     return (
-        rated.withColumn("base_failed", few | repeated)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("excess") <= 0))
-        .select(public_id(), *COUNTS, "base_failed", "kept", "excess", "kind")
+        rated.withColumn("_worst", worst)
+        .withColumn("base_failed", few | repeated)
+        .withColumn("kept", ~F.col("base_failed") & (F.col("_worst.excess") <= 0))
+        .select(public_id(), *COUNTS, "base_failed", "kept", F.col("_worst.excess").alias("excess"), F.col("_worst.kind").alias("kind"))
     )

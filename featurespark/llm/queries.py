@@ -36,7 +36,8 @@ def op3_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_conv_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "text")
+    scored = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), with_text=False)
     predicted = (F.col("score") >= CUT).cast("int").alias("predicted")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted, "threshold", "toxic")
 

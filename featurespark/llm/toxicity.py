@@ -2,23 +2,24 @@
 
 A token's vector is the sum of the embeddings of its hash and of the hashes of its first bytes, so that unseen endings of a known
 stem still count.  Filters of several widths slide over the vectors; each filter's maximum over the whole
-text goes through a linear layer.  The net is fitted on a bounded sample of labelled rows, its score is
-calibrated on rows apart from those, and so is one threshold for each language.
+text goes through a linear layer.  The net is fitted on a bounded sample of labelled rows.  Its score is calibrated on all
+the other labelled rows that may be learnt from, through histograms, and so is one threshold for each language.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .kernels import Chunk, byte_codes, chunks, find_words, span_hashes
-from .support import session
+from .rank import lookup
+from .support import saved, session, unused
 
 #: Hash buckets, size of a vector, widths of the filters, filters of each width, and prefix lengths in bytes.
 BUCKETS, DIM, WIDTHS, FILTERS, PREFIXES = 1 << 16, 8, (1, 2, 3), 8, (4, 6)
@@ -30,6 +31,8 @@ EPOCHS, LEAST_STEPS, BATCH, RATE, TABLE_RATE, PRIOR = 4, 200, 64, 0.01, 20, 10.0
 CUT, LEAST_ROWS = 0.3, 20
 #: Weight of the pull of scale and shift towards 1 and 0, in rows.
 PULL = 1.0
+#: Bins of a histogram of raw outputs for each of their standard deviations, and how many of these lie to either side of the mean.
+STEPS, WIDE = 64, 8
 
 _KIND = np.zeros(256, bool)
 _KIND[np.r_[48:58, 65:91, 97:123, 128:256]] = True
@@ -50,16 +53,17 @@ def tokens(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Net:
-    """Parameters; ``scale`` and ``shift`` turn the raw output into a calibrated score."""
+    """Parameters.  ``middle`` and ``spread`` standardise the raw output, ``scale`` and ``shift`` make that a calibrated score."""
 
     table: np.ndarray
     filters: list[np.ndarray]
     bias: np.ndarray
     out: np.ndarray
     rest: float = 0.0
+    middle: float = 0.0
+    spread: float = 1.0
     scale: float = 1.0
     shift: float = 0.0
-    thresholds: dict = field(default_factory=dict)
 
     def features(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """Vectors, pooled filter outputs of each document, and each filter's outputs by place."""
@@ -87,9 +91,34 @@ class Net:
         _, pooled, _ = self.features(ids, first)
         return np.maximum(pooled + self.bias, 0) @ self.out + self.rest
 
-    def score(self, chunk: Chunk) -> np.ndarray:
-        raw = self.raw(*tokens(chunk)).astype(float)
-        return 1 / (1 + np.exp(-np.clip(self.scale * raw + self.shift, -50, 50)))
+    def standard(self, chunk: Chunk) -> np.ndarray:
+        return (self.raw(*tokens(chunk)).astype(float) - self.middle) / self.spread
+
+    def gradients(self, ids: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict:
+        """Of the mean cross-entropy, by parameter; that of the table as token places and vectors, which hold for each of their buckets."""
+        vectors, pooled, outs = self.features(ids, first)
+        active = pooled + self.bias
+        hidden = np.maximum(active, 0)
+        p = 1 / (1 + np.exp(-np.clip(hidden @ self.out + self.rest, -30, 30)))
+        delta = (p - y) / len(y)
+        d_hidden = np.where(active > 0, delta[:, None] * self.out[None], 0).astype(vectors.dtype)
+        found = {"out": hidden.T @ delta, "rest": float(delta.sum()), "bias": d_hidden.sum(axis=0), "filters": [], "at": [], "by": []}
+        for w, weights in enumerate(self.filters):
+            d_weights = np.zeros_like(weights)
+            for k in range(len(y)):
+                a, b = first[k], first[k + 1]
+                grad = d_hidden[k, w * FILTERS : (w + 1) * FILTERS]
+                if a == b or not grad.any():
+                    continue
+                best = a + np.argmax(outs[w][a:b], axis=0)
+                for o in range(len(weights)):
+                    inside = best + o < b
+                    at, g = best[inside] + o, grad[inside]
+                    np.add.at(d_weights[o].T, np.flatnonzero(inside), vectors[at] * g[:, None])
+                    found["at"].append(at)
+                    found["by"].append(g[:, None] * weights[o][:, inside].T)
+            found["filters"].append(d_weights)
+        return found
 
 
 class _Adam:
@@ -134,51 +163,31 @@ def train(docs: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Net:
             ids = np.concatenate([docs[i] for i in rows]) if len(rows) else docs[0]
             first = np.r_[0, np.cumsum([len(docs[i]) for i in rows])]
             y = labels[rows].astype(np.float32)
-            vectors, pooled, outs = net.features(ids, first)
-            active = pooled + net.bias
-            hidden = np.maximum(active, 0)
-            p = 1 / (1 + np.exp(-np.clip(hidden @ net.out + net.rest, -30, 30)))
-            delta = (p - y) / len(rows)
+            found = net.gradients(ids, first, y)
             adam.t += 1
-            d_hidden = np.where(active > 0, delta[:, None] * net.out[None], 0).astype(np.float32)
-            adam.step("out", net.out, hidden.T @ delta)
-            net.rest -= RATE * float(delta.sum())
-            adam.step("bias", net.bias, d_hidden.sum(axis=0))
-            d_vectors: dict[str, list] = {"at": [], "by": []}
+            adam.step("out", net.out, found["out"])
+            net.rest -= RATE * found["rest"]
+            adam.step("bias", net.bias, found["bias"])
             for w, weights in enumerate(net.filters):
-                d_weights = np.zeros_like(weights)
-                for k in range(len(rows)):
-                    a, b = first[k], first[k + 1]
-                    grad = d_hidden[k, w * FILTERS : (w + 1) * FILTERS]
-                    if a == b or not grad.any():
-                        continue
-                    best = a + np.argmax(outs[w][a:b], axis=0)
-                    for o in range(len(weights)):
-                        inside = best + o < b
-                        at, g = best[inside] + o, grad[inside]
-                        np.add.at(d_weights[o].T, np.flatnonzero(inside), vectors[at] * g[:, None])
-                        d_vectors["at"].append(at)
-                        d_vectors["by"].append(g[:, None] * weights[o][:, inside].T)
-                adam.step(f"filter{w}", weights, d_weights)
-            if d_vectors["at"]:
-                at, by = np.concatenate(d_vectors["at"]), np.concatenate(d_vectors["by"])
+                adam.step(f"filter{w}", weights, found["filters"][w])
+            if found["at"]:
+                at, by = np.concatenate(found["at"]), np.concatenate(found["by"])
                 for k in range(ids.shape[1]):
                     np.subtract.at(net.table, ids[at, k], rate_table * by)
     return net
 
 
-def calibrate(net: Net, raw: np.ndarray, labels: np.ndarray, langs: list) -> None:
-    """Fit the score's scale and shift by logistic regression, then a threshold for each language by F1."""
-    middle, spread = raw.mean(), max(raw.std(), 1e-6)
-    x, (a, b) = (raw - middle) / spread, (1.0, 0.0)
+def calibrate(x: np.ndarray, weight: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Scale and shift of a logistic regression on standardised outputs ``x`` that stand for ``weight`` rows each."""
+    a, b = 1.0, 0.0
 
     def loss(a: float, b: float) -> float:
         z = a * x + b
-        return float((np.logaddexp(0, z) - labels * z).sum() + PULL / 2 * ((a - 1) ** 2 + b * b))
+        return float((weight * (np.logaddexp(0, z) - labels * z)).sum() + PULL / 2 * ((a - 1) ** 2 + b * b))
 
     for _ in range(50):  # Newton steps, shortened until they help
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        w, d = p * (1 - p), p - labels
+        w, d = weight * p * (1 - p), weight * (p - labels)
         g = np.array([d @ x + PULL * (a - 1), d.sum() + PULL * b])
         h = np.array([[w @ (x * x) + PULL, w @ x], [w @ x, w.sum() + PULL]])
         step = np.linalg.solve(h, g)
@@ -187,21 +196,7 @@ def calibrate(net: Net, raw: np.ndarray, labels: np.ndarray, langs: list) -> Non
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-6:
             break
-    a = max(a, 1e-3)
-    net.scale, net.shift = float(a / spread), float(b - a * middle / spread)
-    score = 1 / (1 + np.exp(-np.clip(net.scale * raw + net.shift, -50, 50)))
-    for lang in sorted({x for x in langs if x is not None}):
-        own = np.array([x == lang for x in langs])
-        s, y = score[own], labels[own]
-        if len(y) < LEAST_ROWS or not 0 < y.sum() < len(y):
-            continue
-        order = np.argsort(-s, kind="stable")
-        hits = np.cumsum(y[order])
-        f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-        f1[:-1][s[order][1:] == s[order][:-1]] = 0  # a threshold can't part ties
-        k = int(np.argmax(f1))
-        below = s[order][k + 1] if k + 1 < len(y) else 0.0
-        net.thresholds[lang] = float((s[order][k] + below) / 2)
+    return max(float(a), 1e-3), float(b)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -209,19 +204,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Net | None:
-    """Train on labelled rows of ``docs`` that are not held out; None if a class has no rows.
+def learnt(labels: DataFrame) -> DataFrame:
+    """``_id, toxic``: the labels that may be learnt from."""
+    known = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out(F.col("doc_id")))
+    return known.select(F.col("doc_id").cast("long").alias("_id"), "toxic")
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Net, list[int]] | None:
+    """A net trained on labelled rows of ``docs`` that are not held out, and the ids of these rows; None if a class has no rows.
 
-    Of each class the rows with the least hashes of their ids are taken, up to the documented bounds; one
-    in five of them is kept for the calibration.
+    Of each class the rows with the least hashes of their ids are taken, up to the documented bounds, of several rows with one id the
+    one with the least text; one in five of them is left to the calibration.
     """
-    known = labels.filter("toxic in (0, 1)").filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), "toxic").filter("_id is not null")
-    short = docs.filter(F.octet_length("text") <= MOST_BYTES).select(F.col("doc_id").alias("_id"), "text", "lang")
+    known = learnt(labels)
+    short = docs.filter(F.octet_length("text") <= MOST_BYTES).select(F.col("doc_id").cast("long").alias("_id"), "text")
     picked = [
-        known.filter(F.col("toxic") == y).orderBy(F.xxhash64("_id"), "_id").limit(n) for y, n in ((1, MOST_TOXIC), (0, MOST_CLEAN))
+        known.filter(F.col("toxic") == y).distinct().orderBy(F.xxhash64("_id"), "_id").limit(n) for y, n in ((1, MOST_TOXIC), (0, MOST_CLEAN))
     ]
-    sample = short.join(F.broadcast(picked[0].unionByName(picked[1])), "_id").toArrow().sort_by([("_id", "ascending"), ("text", "ascending")])
-    y, langs = np.array(sample.column("toxic").to_pylist(), dtype=float), sample.column("lang").to_pylist()
+    sample = short.join(F.broadcast(picked[0].unionByName(picked[1])), "_id").groupBy("_id", "toxic").agg(F.min("text").alias("text"))
+    sample = sample.toArrow().sort_by([("_id", "ascending"), ("toxic", "ascending")])
+    y = np.array(sample.column("toxic").to_pylist(), dtype=float)
     parts = [tokens(c) for c in chunks(sample.column("text").combine_chunks())] if len(y) else []
     rows = [ids[first[i] : first[i + 1]] for ids, first in parts for i in range(len(first) - 1)]
     apart = np.arange(len(y)) % 5 == 4
@@ -229,37 +231,91 @@ def fit(docs: DataFrame, labels: DataFrame) -> Net | None:
         return None
     net = train([rows[i] for i in np.flatnonzero(~apart)], y[~apart])
     at = np.flatnonzero(apart)
-    ids, first = np.concatenate([rows[i] for i in at]), np.r_[0, np.cumsum([len(rows[i]) for i in at])]
-    calibrate(net, net.raw(ids, first).astype(float), y[at], [langs[i] for i in at])
-    return net
-
+    raw = net.raw(np.concatenate([rows[i] for i in at]), np.r_[0, np.cumsum([len(rows[i]) for i in at])]).astype(float)
+    net.middle, net.spread = float(raw.mean()), max(float(raw.std()), 1e-6)
+    return net, np.array(sample.column("_id").to_pylist())[~apart].tolist()
 
-def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs`` with ``score``, ``threshold`` (its language's) and ``toxic``: score at least threshold.
 
-    The score reads the text alone.  Null and empty texts get the score of a text without tokens; texts of
-    any length are read whole; an unknown or null language has the threshold ``CUT``; without labels of both
-    classes every score is 0.  Columns named ``score``, ``threshold`` or ``toxic`` are replaced.
-    """
-    spark = session(docs)
-    net = fit(docs, labels)
-    shared = spark.sparkContext.broadcast(net)
-    docs = docs.drop("score", "threshold", "toxic")
-    names = docs.columns
+def standard_outputs(docs: DataFrame, net: Net | None, out: str, with_text: bool = True) -> DataFrame:
+    """``docs`` with the net's standardised output for each whole text in the column ``out``, and without ``text`` unless asked."""
+    shared = session(docs).sparkContext.broadcast(net)
+    names = [c for c in docs.columns if with_text or c != "text"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            parts = [net.score(c) if net else np.zeros(c.hi - c.lo) for c in chunks(batch.column("text"))]
-            columns = dict(zip(names, batch.columns, strict=True)) | {"score": pa.array(np.concatenate(parts))}
-            yield pa.record_batch(columns)
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
-    cuts = net.thresholds if net else {}
-    threshold = F.lit(CUT)
-    for lang, cut in cuts.items():
-        threshold = F.when(F.col("lang") == lang, F.lit(cut)).otherwise(threshold)
-    scored = docs.mapInArrow(task, schema).withColumn("threshold", threshold)
-    return scored.withColumn("toxic", F.col("score") >= F.col("threshold"))
+            parts = [net.standard(c) if net else np.zeros(c.hi - c.lo) for c in chunks(batch.column("text"))]
+            yield pa.record_batch({c: batch.column(c) for c in names} | {out: pa.array(np.concatenate(parts))})
+
+    schema = T.StructType([f for f in docs.schema.fields if f.name in names] + [T.StructField(out, T.DoubleType())])
+    return docs.mapInArrow(task, schema)
+
+
+def _histogram(outputs: DataFrame, labels: DataFrame, trained: list[int]) -> DataFrame:
+    """``lang, toxic, bin, n``: rows (weighted so that both labels have their share of all) that the net wasn't trained on.
+
+    ``outputs`` has ``_id, lang, _x``.  Both sides are narrow, and counts are summed before they are shuffled.
+    """
+    spark = outputs.sparkSession
+    seen = F.broadcast(spark.createDataFrame([(i, True) for i in trained], "_id long, _seen boolean"))
+    place = F.floor((F.col("_x") + WIDE) * STEPS).cast("int")
+    rows = outputs.join(learnt(labels), "_id").join(seen, "_id", "left")
+    counts = rows.groupBy("lang", "toxic", F.greatest(F.lit(0), F.least(F.lit(2 * WIDE * STEPS - 1), place)).alias("bin")).agg(
+        F.count("*").alias("_all"), F.count_if(F.col("_seen").isNull()).alias("_apart")
+    )
+    counts = saved(counts)
+    share = counts.groupBy("toxic").agg((F.sum("_all") / F.greatest(F.sum("_apart"), F.lit(1))).alias("_share"))
+    return lookup(counts, share, ["toxic"]).filter("_apart > 0").select("lang", "toxic", "bin", (F.col("_apart") * F.col("_share")).alias("n"), "_apart")
+
+
+def thresholds(histogram: DataFrame, score: Column) -> DataFrame:
+    """``lang, threshold``: where F1 is best, for languages with rows of both labels, ``LEAST_ROWS`` in all at least.
+
+    ``score`` turns the column ``_x``, here the lower edge of the best bin, into a score.
+    """
+    down = Window.partitionBy("lang").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("lang")
+    hits = F.when(F.col("toxic") == 1, F.col("n")).otherwise(0.0)
+    bins = histogram.filter("lang is not null").groupBy("lang", "bin").agg(F.sum("n").alias("n"), F.sum(hits).alias("hits"), F.sum("_apart").alias("rows"))
+    bins = bins.withColumn("f1", 2 * F.sum("hits").over(down) / (F.sum("n").over(down) + F.sum("hits").over(whole)))
+    enough = (F.sum("rows").over(whole) >= LEAST_ROWS) & (F.sum("hits").over(whole) > 0) & (F.sum("hits").over(whole) < F.sum("n").over(whole) - 1e-9)
+    best = bins.withColumn("enough", enough).filter("enough").groupBy("lang").agg(F.max(F.struct("f1", "bin")).alias("b"))
+    return best.withColumn("_x", F.col("b.bin") / STEPS - WIDE).select("lang", score.alias("threshold"))
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, with_text: bool = True) -> DataFrame:
+    """All rows and columns of ``docs`` with ``score``, ``threshold`` (its language's) and ``toxic``: score at least threshold.
+
+    The score reads the text alone.  Null and empty texts get the score of a text without tokens; texts of
+    any length are read whole; an unknown or null language has the threshold ``CUT``; without labels of both
+    classes every score is 0.  Columns named ``score``, ``threshold`` or ``toxic`` are replaced.  Without ``with_text`` the text is
+    left out, and is read once instead of twice.
+    """
+    docs = docs.drop("score", "threshold", "toxic")
+    fitted = fit(docs, labels)
+    net, trained = fitted or (None, [])
+    (x,) = unused(docs, "_x")
+    if with_text:
+        outputs = standard_outputs(docs, net, x)
+        known = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        narrow = standard_outputs(known.select(F.col("doc_id").cast("long").alias("_id"), F.col("lang").cast("string").alias("lang"), "text"), net, "_x", False)
+    else:
+        outputs = saved(standard_outputs(docs, net, x, False))
+        narrow = outputs.select(F.col("doc_id").cast("long").alias("_id"), F.col("lang").cast("string").alias("lang"), F.col(x).alias("_x"))
+    if not net:
+        rows = outputs.withColumns({"score": F.lit(0.0), "threshold": F.lit(CUT)})
+    else:
+        histogram = saved(_histogram(narrow, labels, trained))
+        bins = histogram.groupBy("bin", "toxic").agg(F.sum("n").alias("n")).orderBy("bin", "toxic").toArrow()
+        middles, n, y = ((np.array(bins.column(c).to_pylist(), float)) for c in ("bin", "n", "toxic"))
+        net.scale, net.shift = calibrate((middles + 0.5) / STEPS - WIDE, n, y) if len(n) else (1.0, 0.0)
+        score = lambda c: 1 / (1 + F.exp(-F.greatest(F.lit(-50.0), F.least(F.lit(50.0), F.col(c) * net.scale + net.shift))))
+        cuts = thresholds(histogram, score("_x"))
+        lang, cut = unused(docs, "_lang", "_cut")
+        cuts = cuts.select(F.col("lang").alias(lang), F.col("threshold").alias(cut))
+        rows = lookup(outputs.withColumn(lang, F.col("lang").cast("string")), cuts, [lang])
+        rows = rows.withColumns({"score": score(x), "threshold": F.coalesce(F.col(cut), F.lit(CUT))})
+    columns = [c for c in docs.columns if with_text or c != "text"]
+    return rows.withColumn("toxic", F.col("score") >= F.col("threshold")).select(*columns, "score", "threshold", "toxic")
