@@ -21,9 +21,10 @@ class Config:
     kafka_item_topic: str = "item"
     kafka_event_topic: str = "event"
     kafka_groupId: str = "features-spark"  # noqa: N815
+    #: Shuffle partitions of the running jobs, milliseconds between their batches, and whether every update gets a snapshot.
     job_parallelism: int = 2
     checkpoint_interval_ms: int = 60_000
-    event_out_of_order_seconds: int = 30
+    feature_every_update: bool = False
 
     @classmethod
     def load(cls, path: str | Path) -> Config:

@@ -94,13 +94,13 @@ def event_index(events: DataFrame, seq: str = "seq") -> DataFrame:
     return _latest(log, ["key", "member"], seq).drop(seq)
 
 
-def snapshot_kv(snapshots: DataFrame) -> DataFrame:
-    """``key, value``: each entity's snapshot as JSON under ``feature:<type>:{<id>}``."""
+def snapshot_kv(snapshots: DataFrame, *more: Column) -> DataFrame:
+    """``key, value``: each entity's snapshot as JSON under ``feature:<type>:{<id>}``, and the columns ``more``."""
     value = F.to_json(
         F.struct(F.col("entity_type").alias("entityType"), F.col("entity_id").alias("entityId"), F.col("as_of_time").alias("asOfTime"), "features")
     )
     key = F.concat(F.lit("feature:"), "entity_type", F.lit(":{"), "entity_id", F.lit("}"))
-    return snapshots.select(key.alias("key"), value.alias("value"))
+    return snapshots.select(key.alias("key"), value.alias("value"), *more)
 
 
 def entity_store(records: DataFrame, seq: str = "seq") -> DataFrame:

@@ -8,16 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import Config
 from ..contract import ENTITY_TYPES, feature_names
 from ..operators import features as fe
 from ..operators.envelope import decode
 from ..operators.records import day, records, typed_events
-from ..operators.serving import deleted_scenes, entity_kv, entity_store, event_index, new_items
+from ..operators.serving import deleted_scenes, entity_kv, entity_store, event_index, new_items, snapshot_kv
 from ..operators.updates import events_of, updates
 from ..sources import adapters
 from ..sources.readers import stored_text, text_stream
-from ..sources.sinks import append_days, scratch_folder
-from ..streaming.jobs import STATE_STORE
+from ..sources.sinks import append_days, scratch_folder, write_snapshots
+from ..streaming.jobs import STATE_STORE, entity_table, kv_table, persist_raw, serving_items
 from ..streaming.state import stream_features
 
 #: Snapshot times: one after all events, one in their midst.
@@ -167,6 +168,61 @@ def stream_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(last.select("entity_id", F.col("s.as_of_time").alias("as_of_time"), *columns))
 
 
+def odd_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of both entity types over events with nulls and blanks."""
+    return _rounded(fe.entity_features(updates(adapters.odd_events(spark, sf_dir))))
+
+
+def odd_row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(decode(adapters.odd_event_json(spark, sf_dir), "event"), "event").select("type", "row_key", "seq")
+
+
+def odd_event_zset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_index(decode(adapters.odd_event_json(spark, sf_dir), "event"))
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fe.snapshots(fe.entity_features(_updates(spark, sf_dir)))
+
+
+def _json_numbers(json: str, *names: str) -> list[Column]:
+    return [F.get_json_object(json, f"$.features.{n}").cast("double").alias(n) for n in names]
+
+
+def snapshot_kv_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = snapshot_kv(_snapshots(spark, sf_dir))
+    get = lambda path: F.get_json_object("value", path)
+    return rows.select("key", get("$.entityType").alias("entity_type"), get("$.asOfTime").cast("bigint").alias("as_of_time"), *_json_numbers("value", *SNAPSHOT_NAMES))
+
+
+def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots as JSON lines in two batches, of which the first is written twice."""
+    folder, rows = scratch_folder(spark, "snapshots"), _snapshots(spark, sf_dir)
+    for batch in (0, 0, 1):
+        write_snapshots(rows.filter(F.col("entity_type") == ("user", "item")[batch]), folder, batch)
+    lines = spark.read.text(folder)
+    return lines.select(F.get_json_object("value", "$.entityId").alias("entity_id"), "batch_id", *_json_numbers("value", *SNAPSHOT_NAMES))
+
+
+def multi_sink_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item log through all its sinks in two batches, each written twice: stored keys, members and day files."""
+    folder, items = scratch_folder(spark, "jobs"), adapters.item_json(spark, sf_dir)
+    config = Config(kv_path=f"{folder}/kv", store_path=f"{folder}/store", hdfs_output=f"{folder}/out", redis_new_max_items=TOP)
+    for batch, part in enumerate((items.filter("seq < 1000000"), items.filter("seq >= 1000000"))):
+        for _ in range(2):
+            persist_raw(spark, part, batch, "item", config)
+    kv = kv_table(spark, config, "item").read().select(F.lit("kv").alias("sink"), F.col("key").alias("name"), F.lit("").alias("member"))
+    store = entity_table(spark, config, "item").read().select(F.lit("store"), "row_key", F.lit(""))
+    index = serving_items(spark, config).select(F.lit("index"), "key", "member")
+    raw = stored_text(spark, f"{config.hdfs_output}/hive/item")
+    # items with an unreadable time are filed under the day of the run
+    days = raw.filter(~F.col("json").contains('"modifyTime":"bad"')).groupBy("dt").count().select(F.lit("day"), "dt", F.col("count").cast("string"))
+    return kv.union(store).union(index).union(days)
+
+
+#: Features that the snapshot queries read back from JSON.
+SNAPSHOT_NAMES = ("event_count", "event_last_time", "event_count_7d", "event_buy_count", "event_click_rate")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_features": _features("user"),
     "item_features": _features("item"),
@@ -193,4 +249,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_append_roundtrip": raw_append_roundtrip,
     "partition_pruned_read": partition_pruned_read,
     "stream_features": stream_features_query,
+    "odd_features": odd_features,
+    "odd_row_keys": odd_row_keys,
+    "odd_event_zset": odd_event_zset,
+    "snapshot_kv": snapshot_kv_query,
+    "snapshot_files": snapshot_files,
+    "multi_sink_batches": multi_sink_batches,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..contract import ACTIONS, DAY, WINDOWS, feature_names
-from .queries import AS_OF, PRUNED_FROM, TOP
+from .queries import AS_OF, PRUNED_FROM, SNAPSHOT_NAMES, TOP
 
 _EVENTS = """ev AS (SELECT CAST(user_id AS VARCHAR) AS userid, json_extract_string(props, '$.k') AS itemid,
   's' || (event_id % 7) AS scene, CASE WHEN event_type = 'view' THEN 'expose' WHEN event_type = 'purchase' THEN 'buy'
@@ -11,9 +11,20 @@ _EVENTS = """ev AS (SELECT CAST(user_id AS VARCHAR) AS userid, json_extract_stri
   value, epoch_us(ts) // 1000000 AS t, event_id AS seq, strftime(ts, '%Y-%m-%d') AS day,
   CASE WHEN event_id % 3 = 0 THEN 'trace-' || event_id END AS trace FROM events)"""
 _FULL = "(SELECT * FROM ev WHERE userid IS NOT NULL AND itemid IS NOT NULL)"
-_UPDATES = f"""{_EVENTS}, upd AS (SELECT 'user' AS entity_type, userid AS entity_id, itemid AS counterpart_id, scene,
-  action AS event_type, coalesce(value, 0.0) AS value, t AS event_time, seq, day FROM {_FULL}
-  UNION ALL SELECT 'item', itemid, userid, scene, action, coalesce(value, 0.0), t, seq, day FROM {_FULL})"""
+
+
+def _updates(events: str, full: str) -> str:
+    return f"""{events}, upd AS (SELECT 'user' AS entity_type, userid AS entity_id, itemid AS counterpart_id, scene,
+  action AS event_type, coalesce(value, 0.0) AS value, t AS event_time, seq, day FROM {full}
+  UNION ALL SELECT 'item', itemid, userid, scene, action, coalesce(value, 0.0), t, seq, day FROM {full})"""
+
+
+_UPDATES = _updates(_EVENTS, _FULL)
+# nulls and blanks as the adapter puts them in
+_ODD = f"""{_EVENTS.replace("ev AS", "plain AS", 1)}, ev AS (SELECT t, seq, day, trace, CASE WHEN seq % 4 <> 0 THEN scene END AS scene,
+  CASE WHEN seq % 5 <> 0 THEN action END AS action, CASE WHEN seq % 6 = 0 THEN ' ' || chr(9) ELSE userid END AS userid,
+  CASE WHEN seq % 9 = 0 THEN NULL WHEN seq % 10 = 0 THEN '' ELSE itemid END AS itemid, CASE WHEN seq % 11 <> 0 THEN value END AS value FROM plain)"""
+_ODD_FULL = "(SELECT * FROM ev WHERE userid <> ' ' || chr(9) AND itemid <> '')"
 _ITEMS = """it AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS scene, p_name AS title, 1700000000 + p_partkey * 3600 AS pub,
   p_partkey AS k FROM part)"""
 _USERS = """us AS (SELECT c_custkey AS k, epoch_us(min(o_orderdate)) // 1000000 AS first, epoch_us(max(o_orderdate)) // 1000000 AS last
@@ -71,6 +82,17 @@ _RUNNING = f"""run AS (SELECT a.entity_type, a.entity_id, a.seq, CAST(a.l AS BIG
 _DAY = "strftime(make_timestamp(CAST({} AS BIGINT) * 1000), '%Y-%m-%d')"
 _KEY = """CASE WHEN trace IS NOT NULL THEN trace ELSE t || '#' || userid || '#' || itemid || '#' || scene || '#' || action END"""
 
+_ODD_KEY = "CASE WHEN trace IS NOT NULL THEN trace ELSE t || '#' || userid || '#' || itemid || '#' || coalesce(scene, '') || '#' || coalesce(action, '') END"
+
+
+def _snapshots() -> str:
+    return f"{_UPDATES}, f AS ({_features()})"
+
+
+_READ_BACK = ", ".join(SNAPSHOT_NAMES)
+_NEWEST = f"""s AS (SELECT *, CAST(CASE WHEN k % 3 = 0 THEN pub * 1000 ELSE pub END AS DOUBLE) AS score FROM it),
+r AS (SELECT *, row_number() OVER (PARTITION BY scene ORDER BY score DESC, id DESC) AS n FROM s)"""
+
 _MEMBERS = "'event:{{' || userid || '}}:' || coalesce(scene, 'null') || ':' || {}"
 
 SQL: dict[str, str] = {
@@ -113,4 +135,16 @@ SELECT 'new:{{' || scene || '}}' AS key, id AS member, score FROM r WHERE n <= {
     "raw_append_roundtrip": f"WITH {_EVENTS} SELECT CAST(day AS VARCHAR) AS dt, count(*) AS n, count(DISTINCT userid) AS users FROM ev GROUP BY day",
     "partition_pruned_read": f"WITH {_EVENTS} SELECT CAST(day AS VARCHAR) AS dt, count(*) AS n FROM ev WHERE day >= '{PRUNED_FROM}' GROUP BY day",
     "stream_features": _own("user"),
+    "odd_features": f"WITH {_updates(_ODD, _ODD_FULL)} {_features()}",
+    "odd_row_keys": f"WITH {_ODD} SELECT 'event' AS type, {_ODD_KEY} AS row_key, seq FROM {_ODD_FULL}",
+    "odd_event_zset": f"""WITH {_ODD} SELECT {_MEMBERS.format("coalesce(action, 'null')")} AS key, itemid AS member,
+  CAST(arg_max(t, seq) AS DOUBLE) AS score FROM {_FULL} GROUP BY ALL""",
+    "snapshot_kv": f"""WITH {_snapshots()} SELECT 'feature:' || entity_type || ':{{' || entity_id || '}}' AS key, entity_type, as_of_time, {_READ_BACK} FROM f""",
+    "snapshot_files": f"WITH {_snapshots()} SELECT entity_id, CASE WHEN entity_type = 'user' THEN 0 ELSE 1 END AS batch_id, {_READ_BACK} FROM f",
+    "multi_sink_batches": f"""WITH {_ITEMS}, {_NEWEST}
+SELECT 'kv' AS sink, 'item:{{' || id || '}}' AS name, '' AS member FROM it WHERE k % 11 <> 0
+UNION ALL SELECT 'store', id, '' FROM it WHERE k % 11 <> 0
+UNION ALL SELECT 'index', 'new:{{' || scene || '}}', id FROM r WHERE n <= {TOP} AND k % 11 <> 0
+UNION ALL SELECT 'day', dt, CAST(count(*) AS VARCHAR) FROM (
+  SELECT {_DAY.format("pub * 1000")} AS dt FROM it WHERE k % 7 <> 0 UNION ALL SELECT {_DAY.format("1700000000000 + k")} FROM it WHERE k % 11 = 0) GROUP BY dt""",
 }

@@ -112,3 +112,23 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.when(n == 7, F.lit("{bad")).when(n == 8, F.lit("[1]"))
     json = F.when(n == 0, bare).otherwise(F.coalesce(broken, F.to_json(wrapped)))
     return events(spark, sf_dir).select(json.alias("json"), "seq")
+
+
+def odd_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with nulls and blanks: no scene for every fourth, no type for every fifth, a blank user or item for some, no item for others."""
+    n = F.col("seq")
+    return events(spark, sf_dir).withColumns(
+        {
+            "scene": F.when(n % 4 != 0, F.col("scene")),
+            "type": F.when(n % 5 != 0, F.col("type")),
+            "userId": F.when(n % 6 == 0, " \t").otherwise(F.col("userId")),
+            "itemId": F.when(n % 9 == 0, None).when(n % 10 == 0, "").otherwise(F.col("itemId")),
+            "value": F.when(n % 11 == 0, " x").otherwise(F.col("value")),
+        }
+    )
+
+
+def odd_event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``json, seq``: bare records of :func:`odd_events`; null fields are absent."""
+    names = ["userId", "itemId", "scene", "type", "value", "time", "traceId"]
+    return odd_events(spark, sf_dir).select(F.to_json(F.struct(*names)).alias("json"), "seq")

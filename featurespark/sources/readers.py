@@ -7,11 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import Config
 
 
+def kafka_options(config: Config, entity_type: str) -> dict[str, str]:
+    """Options of the source of a topic: from the earliest offset where no checkpoint says otherwise."""
+    return {
+        "kafka.bootstrap.servers": config.kafka_servers,
+        "subscribe": config.topic(entity_type),
+        "startingOffsets": "earliest",
+        "groupIdPrefix": config.kafka_groupId,
+    }
+
+
+#: Arrival order of Kafka records, across partitions too: by the record's time, then by offset (of which the low 20 bits count).
+KAFKA_SEQ = "unix_millis(timestamp) * 1048576 + offset % 1048576"
+
+
 def kafka(spark: SparkSession, config: Config, entity_type: str) -> DataFrame:
-    """Stream of a topic's values; ``seq`` orders records within one partition only."""
-    stream = spark.readStream.format("kafka").option("kafka.bootstrap.servers", config.kafka_servers)
-    stream = stream.option("subscribe", config.topic(entity_type)).option("startingOffsets", "earliest")
-    return stream.load().selectExpr("CAST(value AS STRING) AS json", "offset AS seq")
+    """Stream of a topic's values: ``json, seq``."""
+    stream = spark.readStream.format("kafka").options(**kafka_options(config, entity_type))
+    return stream.load().selectExpr("CAST(value AS STRING) AS json", f"{KAFKA_SEQ} AS seq")
 
 
 def text_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:

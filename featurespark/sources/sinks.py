@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,48 +27,105 @@ def write_snapshots(snapshots: DataFrame, path: str, batch_id: int) -> None:
     snapshots.select(F.to_json(F.struct(*columns)).alias("value")).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
 
 
-class VersionedTable:
-    """A keyed table as numbered Parquet versions; a merge by ``seq`` writes the next one.
+#: Buckets of a table's keys, and batches after which its deltas are merged into a new base.
+BUCKETS, COMPACT_AFTER = 32, 16
 
-    ``deleted`` rows stay as tombstones in the files, so that a batch that is merged twice, or a late
-    older record, changes nothing; :meth:`read` leaves them out.  The version of a batch is its id, which makes a retry
-    overwrite its own output.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]) -> None:
-        self.spark, self.path, self.keys = spark, path, keys
+class DeltaTable:
+    """A keyed table as a base and the changes of later batches, all in buckets by a hash of the first key column.
+
+    A merge writes the last change of each key in the batch and reads nothing; a read takes the last one by ``seq`` of the base and the
+    deltas.  After ``compact_after`` batches they are merged into a new base, and what the base before it had replaced is removed, so
+    the files don't grow with the number of batches.  ``deleted`` rows stay as tombstones until then.  The files of a batch
+    carry its id: writing a batch again replaces its own, and :meth:`read` can leave out a batch and all later ones, which is what
+    a batch must do that looks at the table and may be repeated.
+    """
 
-    def _versions(self) -> list[int]:
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def __init__(
+        self, spark: SparkSession, path: str, keys: list[str], values: str = "", buckets: int = BUCKETS, compact_after: int = COMPACT_AFTER
+    ) -> None:
+        """``values``: the schema of the columns beside the keys, ``seq`` and ``deleted``; a table that isn't written yet is read as empty."""
+        self.spark, self.path, self.keys, self.values = spark, path, keys, values
+        self.buckets, self.compact_after = buckets, compact_after
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.keys[0]), F.lit(self.buckets)).cast("int").alias("bucket")
+
+    def _fs(self):
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(self.path)
+        return hadoop, root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def files(self, kind: str) -> list[int]:
+        """Batch ids of the finished bases or deltas."""
+        hadoop, fs = self._fs()
+        root = hadoop.Path(f"{self.path}/{kind}")
         if not fs.exists(root):
             return []
-        done = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                done.append(int(name[2:]))
-        return sorted(done)
+        found = [x.getPath() for x in fs.listStatus(root)]
+        return sorted(int(p.getName()[2:]) for p in found if p.getName().startswith("v=") and fs.exists(hadoop.Path(p, "_SUCCESS")))
+
+    def _last(self, rows: DataFrame) -> DataFrame:
+        rest = [c for c in rows.columns if c not in self.keys]
+        return rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "seq").alias("_row")).select(*self.keys, "_row.*")
+
+    def _write(self, rows: DataFrame, kind: str, batch_id: int) -> None:
+        rows = rows.withColumn("bucket", self._bucket()).repartition("bucket")
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{kind}/v={batch_id}")
+
+    def _rows(self, before: int | None) -> DataFrame | None:
+        """Base and deltas below a batch, with tombstones and buckets."""
+        bases = [v for v in self.files("base") if before is None or v < before]
+        deltas = [v for v in self.files("delta") if (before is None or v < before) and (not bases or v > bases[-1])]
+        paths = [f"{self.path}/base/v={v}" for v in bases[-1:]] + [f"{self.path}/delta/v={v}" for v in deltas]
+        hadoop, fs = self._fs()
+        # a batch without changes has no buckets
+        filled = [p for p in paths if any(x.getPath().getName().startswith("bucket=") for x in fs.listStatus(hadoop.Path(p)))]
+        parts = [self.spark.read.parquet(p) for p in filled]
+        return reduce(DataFrame.unionByName, parts) if parts else None
 
     def merge(self, changes: DataFrame, batch_id: int) -> None:
         """``changes``: keys, ``seq``, ``deleted`` and the value columns, any number of rows for a key."""
-        earlier = [v for v in self._versions() if v < batch_id]
-        rows = changes
-        if earlier:
-            rows = self.spark.read.parquet(f"{self.path}/v={earlier[-1]}").unionByName(changes)
-        rest = [c for c in changes.columns if c not in self.keys]
-        last = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "seq").alias("_row"))
-        last.select(*self.keys, "_row.*").write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-
-    def read(self) -> DataFrame:
-        versions = self._versions()
-        if not versions:
-            raise FileNotFoundError(f"no version of {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v={versions[-1]}").filter("not deleted").drop("deleted")
+        self._write(self._last(changes), "delta", batch_id)
+        bases = [v for v in self.files("base") if v < batch_id]
+        if len([v for v in self.files("delta") if v > (bases[-1] if bases else -1)]) >= self.compact_after:
+            self._compact(batch_id, bases)
+
+    def _compact(self, batch_id: int, bases: list[int]) -> None:
+        rows = self._rows(batch_id + 1)
+        if rows is None:
+            return
+        # a repeated batch must still find the table as it was before: only what the base before this one replaced may go
+        self._write(self._last(rows.drop("bucket")), "base", batch_id)
+        hadoop, fs = self._fs()
+        for kind in ("base", "delta") if bases else ():
+            for v in self.files(kind):
+                if v < bases[-1] or (kind == "delta" and v == bases[-1]):
+                    fs.delete(hadoop.Path(f"{self.path}/{kind}/v={v}"), True)
+
+    def read(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """The table without tombstones, as it was before a batch if asked.
+
+        ``only``: values of the first key column; just their buckets are read.
+        """
+        rows = self._rows(before)
+        if rows is None:
+            if not self.values:
+                raise FileNotFoundError(f"nothing is written to {self.path}")
+            names = ", ".join(f"{k} string" for k in self.keys)
+            return self.spark.createDataFrame([], f"{names}, {self.values}, seq bigint")
+        if only is not None:
+            only = only.select(self.keys[0]).distinct()
+            wanted = [x.bucket for x in only.select(self._bucket()).distinct().collect()]
+            rows = rows.filter(F.col("bucket").isin(wanted)).join(only, self.keys[0], "left_semi")
+        return self._last(rows.drop("bucket")).filter("not deleted").drop("deleted")
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the session's checkpoint folder; under a temporary one only where none is set, as in tests."""
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scratch-")
+    """A new folder in the session's checkpoint folder; under a temporary one only in local mode and where none is set, as in tests."""
+    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not re.match(r"local(\[[^,]*(,[^,]*)?\])?$", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="scratch-")
     return f"{root}/{name}-{uuid.uuid4().hex}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -13,10 +13,10 @@ from ..contract import ENTITY_TYPES
 from ..functions.javasem import blank, parse_double
 from ..operators.envelope import decode, is_delete
 from ..operators.records import day, records
-from ..operators.serving import deleted_scenes, event_index, snapshot_kv, top_members
+from ..operators.serving import deleted_scenes, event_index, snapshot_kv
 from ..operators.updates import events_of, updates
 from ..sources.readers import kafka
-from ..sources.sinks import VersionedTable, append_days, write_snapshots
+from ..sources.sinks import DeltaTable, append_days, write_snapshots
 from .state import stream_features
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -29,10 +29,27 @@ def _ordered(batch: DataFrame, batch_id: int) -> DataFrame:
     return batch.withColumn("seq", F.lit(batch_id << 40) + F.monotonically_increasing_id() % (1 << 40))
 
 
+def _table(spark: SparkSession, path: str, keys: list[str], values: str) -> DeltaTable:
+    return DeltaTable(spark, path, keys, values)
+
+
+def kv_table(spark: SparkSession, config: Config, kind: str) -> DeltaTable:
+    return _table(spark, f"{config.kv_path}/kv_{kind}", ["key"], "value string")
+
+
+def index_table(spark: SparkSession, config: Config, entity_type: str) -> DeltaTable:
+    return _table(spark, f"{config.kv_path}/zset_{entity_type}", ["key", "member"], "score double")
+
+
+def entity_table(spark: SparkSession, config: Config, entity_type: str) -> DeltaTable:
+    return _table(spark, f"{config.store_path}/{config.hbase_table_prefix}{entity_type}", ["row_key"], "json string")
+
+
 def persist_raw(spark: SparkSession, batch: DataFrame, batch_id: int, entity_type: str, config: Config) -> None:
     """Write one micro-batch of raw records to every enabled sink.  Writing a batch again changes nothing.
 
-    The batch is decoded once and kept while the sinks read it.
+    The batch is decoded once and kept while the sinks read it.  Where it looks at what is stored, it leaves out its own
+    earlier attempt.
     """
     now = F.unix_millis(F.current_timestamp())
     decoded = day(decode(_ordered(batch, batch_id), entity_type), entity_type, now).persist()
@@ -40,17 +57,17 @@ def persist_raw(spark: SparkSession, batch: DataFrame, batch_id: int, entity_typ
         if config.hive_enabled:
             append_days(decoded, f"{config.hdfs_output}/hive/{entity_type}", batch_id)
         if config.hbase_enabled:
-            store = VersionedTable(spark, f"{config.store_path}/{config.hbase_table_prefix}{entity_type}", ["row_key"])
             changes = records(decoded, entity_type).withColumn("deleted", F.col("operation") == "DELETE")
-            store.merge(changes.select("row_key", "json", "seq", "deleted"), batch_id)
-        index = VersionedTable(spark, f"{config.kv_path}/zset_{entity_type}", ["key", "member"])
+            entity_table(spark, config, entity_type).merge(changes.select("row_key", "json", "seq", "deleted"), batch_id)
+        index = index_table(spark, config, entity_type) if entity_type != "user" else None
         if entity_type == "event":
             scored = event_index(decoded).withColumns({"seq": F.lit(batch_id << 40), "deleted": F.lit(False)})
             index.merge(scored, batch_id)
             return
-        kv = VersionedTable(spark, f"{config.kv_path}/kv_{entity_type}", ["key"])
+        kv = kv_table(spark, config, entity_type)
         if entity_type == "item":
-            index.merge(_new_item_changes(spark, kv, decoded), batch_id)
+            changes = _new_item_changes(kv, decoded, batch_id)
+            index.merge(_trimmed(index, changes, batch_id, config.redis_new_max_items), batch_id)
         kv.merge(_kv_changes(decoded, entity_type), batch_id)
     finally:
         decoded.unpersist()
@@ -65,16 +82,13 @@ def _kv_changes(decoded: DataFrame, entity_type: str) -> DataFrame:
     )
 
 
-def _new_item_changes(spark: SparkSession, kv: VersionedTable, decoded: DataFrame) -> DataFrame:
-    """Adds and removals in the scenes' sets; a delete without a scene looks up what is stored before the batch."""
-    log = decoded.select("message", "entity", "seq")
-    if kv._versions():
-        ids = decoded.filter("entity.id is not null").select(F.concat(F.lit("item:{"), "entity.id", F.lit("}")).alias("key")).distinct()
-        stored = kv.read().join(ids, "key", "left_semi").select(F.col("value").alias("json"), "seq")
-        log = decode(stored, "item").select("message", "entity", "seq").withColumn("_stored", F.lit(True)).unionByName(log, allowMissingColumns=True)
-    else:
-        log = log.withColumn("_stored", F.lit(None).cast("boolean"))
-    adds = log.filter("_stored is null and entity.id is not null").filter(~is_delete(F.col("message")) & ~blank(F.col("entity.scene")))
+def _new_item_changes(kv: DeltaTable, decoded: DataFrame, batch_id: int) -> DataFrame:
+    """Adds and removals in the scenes' sets; a delete without a scene looks up what was stored before the batch."""
+    log = decoded.select("message", "entity", "seq").withColumn("_stored", F.lit(False))
+    ids = decoded.filter("entity.id is not null").select(F.concat(F.lit("item:{"), "entity.id", F.lit("}")).alias("key"))
+    stored = kv.read(batch_id, ids).select(F.col("value").alias("json"), "seq")
+    log = decode(stored, "item").select("message", "entity", "seq").withColumn("_stored", F.lit(True)).unionByName(log)
+    adds = log.filter("not _stored and entity.id is not null").filter(~is_delete(F.col("message")) & ~blank(F.col("entity.scene")))
     key = lambda scene: F.concat(F.lit("new:{"), F.col(scene), F.lit("}")).alias("key")
     adds = adds.select(key("entity.scene"), F.col("entity.id").alias("member"), parse_double(F.col("entity.pubTime")).alias("score"), "seq", F.lit(False).alias("deleted"))
     drops = deleted_scenes(log).filter("scene is not null")
@@ -82,10 +96,27 @@ def _new_item_changes(spark: SparkSession, kv: VersionedTable, decoded: DataFram
     return adds.unionByName(drops)
 
 
+def _trimmed(index: DeltaTable, changes: DataFrame, batch_id: int, most: int) -> DataFrame:
+    """``changes`` with a removal for every member that they push out of its set's ``most`` largest; only sets of the batch are read.
+
+    What is pushed out stays out, also when others are removed later.  The limit holds after each batch, not after each record.
+    """
+    if most <= 0:
+        return changes
+    stored = index.read(batch_id, changes.select("key")).withColumn("deleted", F.lit(False))
+    last = index._last(stored.unionByName(changes)).filter("not deleted")
+    order = Window.partitionBy("key").orderBy(F.desc("score"), F.desc("member"))
+    out = last.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") > most)
+    return changes.unionByName(out.withColumn("deleted", F.lit(True)).withColumn("seq", F.col("seq") + 1).select(*changes.columns))
+
+
 def serving_items(spark: SparkSession, config: Config) -> DataFrame:
     """The scenes' sets as served: at most ``redis_new_max_items`` items each, unless that is 0 or less."""
-    rows = VersionedTable(spark, f"{config.kv_path}/zset_item", ["key", "member"]).read().drop("seq")
-    return top_members(rows, ["key"], config.redis_new_max_items)
+    return index_table(spark, config, "item").read().drop("seq")
+
+
+def _triggered(writer: DataStreamWriter, config: Config) -> DataStreamWriter:
+    return writer.trigger(processingTime=f"{config.checkpoint_interval_ms} milliseconds") if config.checkpoint_interval_ms > 0 else writer
 
 
 def raw_writer(spark: SparkSession, stream: DataFrame, entity_type: str, config: Config) -> DataStreamWriter:
@@ -94,25 +125,36 @@ def raw_writer(spark: SparkSession, stream: DataFrame, entity_type: str, config:
 
 
 def persist_snapshots(spark: SparkSession, batch: DataFrame, batch_id: int, config: Config) -> None:
-    """Write a batch of snapshots as files and into the serving table."""
+    """Write a batch of snapshots as files and into the serving table, where an entity's last one counts."""
     batch = batch.persist()
     try:
         write_snapshots(batch, f"{config.hdfs_output}/features", batch_id)
-        rows = snapshot_kv(batch).withColumns({"seq": F.lit(batch_id).cast("bigint"), "deleted": F.lit(False)})
-        VersionedTable(spark, f"{config.kv_path}/kv_feature", ["key"]).merge(rows, batch_id)
+        order = F.lit(batch_id << 40) + F.element_at("features", "event_count").cast("bigint")
+        rows = snapshot_kv(batch, order.alias("seq")).withColumn("deleted", F.lit(False))
+        kv_table(spark, config, "feature").merge(rows, batch_id)
     finally:
         batch.unpersist()
 
 
-def feature_writer(spark: SparkSession, stream: DataFrame, config: Config, every: bool = False) -> DataStreamWriter:
-    """Features of a raw event stream.  Set ``STATE_STORE`` as the session's state store provider."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    snapshots = stream_features(updates(events_of(decode(stream, "event"))), every)
+def feature_writer(spark: SparkSession, stream: DataFrame, config: Config) -> DataStreamWriter:
+    """Features of a raw event stream; the session needs the settings of :func:`prepared`."""
+    snapshots = stream_features(updates(events_of(decode(stream, "event"))), config.feature_every_update)
     writer = snapshots.writeStream.outputMode("update").option("checkpointLocation", f"{config.checkpoint_path}/features")
     return writer.foreachBatch(lambda batch, i: persist_snapshots(spark, batch, i, config))
 
 
-def start(spark: SparkSession, config: Config, source: Callable[[SparkSession, Config, str], DataFrame] = kafka) -> list[StreamingQuery]:
-    """Start all four queries; the caller awaits them."""
-    queries = [raw_writer(spark, source(spark, config, t), t, config).start() for t in ENTITY_TYPES]
-    return [*queries, feature_writer(spark, source(spark, config, "event"), config).start()]
+def prepared(spark: SparkSession, config: Config) -> SparkSession:
+    """The session with the settings that the jobs need: the state store, and their parallelism."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    spark.conf.set("spark.sql.shuffle.partitions", str(config.job_parallelism))
+    return spark
+
+
+def start(spark: SparkSession, config: Config, source: Callable[[SparkSession, Config, str], DataFrame] = kafka, **trigger) -> list[StreamingQuery]:
+    """Start all four queries in a session of :func:`prepared`; the caller awaits them.
+
+    They run a batch every ``checkpoint_interval_ms``, or as ``trigger`` says.
+    """
+    writers = [raw_writer(spark, source(spark, config, t), t, config) for t in ENTITY_TYPES]
+    writers.append(feature_writer(spark, source(spark, config, "event"), config))
+    return [(w.trigger(**trigger) if trigger else _triggered(w, config)).start() for w in writers]

@@ -105,7 +105,7 @@ def test_dislike_rules(spark):
 
 def test_config(tmp_path):
     path = tmp_path / "dp.properties"
-    path.write_text("# c\nredis.new.max-items=5\nhive.enabled=false\nevent.out-of-order.seconds = 7\nkafka.groupId=g\nunknown=1\n")
+    path.write_text("# c\nredis.new.max-items=5\nhive.enabled=false\njob.parallelism = 7\nkafka.groupId=g\nunknown=1\n")
     c = Config.load(path)
-    assert (c.redis_new_max_items, c.hive_enabled, c.hbase_enabled, c.event_out_of_order_seconds, c.kafka_groupId) == (5, False, True, 7, "g")
+    assert (c.redis_new_max_items, c.hive_enabled, c.hbase_enabled, c.job_parallelism, c.kafka_groupId) == (5, False, True, 7, "g")
     assert c.topic("item") == "item"
