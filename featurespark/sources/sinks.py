@@ -69,8 +69,12 @@ class DeltaTable:
         rest = [c for c in rows.columns if c not in self.keys]
         return rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "seq").alias("_row")).select(*self.keys, "_row.*")
 
+    def _schema(self) -> str:
+        """Of the rows as they are kept."""
+        return ", ".join([*[f"{k} string" for k in self.keys], self.values, "seq bigint", "deleted boolean"])
+
     def _write(self, rows: DataFrame, kind: str, batch_id: int) -> None:
-        rows = rows.withColumn("bucket", self._bucket()).repartition("bucket")
+        rows = rows.withColumns({"seq": F.col("seq").cast("bigint"), "bucket": self._bucket()}).repartition("bucket")
         rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{kind}/v={batch_id}")
 
     def _rows(self, before: int | None) -> DataFrame | None:
@@ -81,7 +85,9 @@ class DeltaTable:
         hadoop, fs = self._fs()
         # a batch without changes has no buckets
         filled = [p for p in paths if any(x.getPath().getName().startswith("bucket=") for x in fs.listStatus(hadoop.Path(p)))]
-        parts = [self.spark.read.parquet(p) for p in filled]
+        # a given schema saves a job over the footers for each part
+        reader = self.spark.read.schema(f"{self._schema()}, bucket int") if self.values else self.spark.read
+        parts = [reader.parquet(p) for p in filled]
         return reduce(DataFrame.unionByName, parts) if parts else None
 
     def merge(self, changes: DataFrame, batch_id: int) -> None:
