@@ -66,8 +66,11 @@ def persist_raw(spark: SparkSession, batch: DataFrame, batch_id: int, entity_typ
             return
         kv = kv_table(spark, config, entity_type)
         if entity_type == "item":
-            changes = _new_item_changes(kv, decoded, batch_id)
-            index.merge(_trimmed(index, changes, batch_id, config.redis_new_max_items), batch_id)
+            changes = _new_item_changes(kv, decoded, batch_id).persist()  # trimming reads them four times
+            try:
+                index.merge(_trimmed(index, changes, batch_id, config.redis_new_max_items), batch_id)
+            finally:
+                changes.unpersist()
         kv.merge(_kv_changes(decoded, entity_type), batch_id)
     finally:
         decoded.unpersist()
