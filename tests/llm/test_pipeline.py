@@ -3,9 +3,11 @@
 import random
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
+from featurespark.llm import jaccard
 from featurespark.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -42,7 +44,9 @@ def slow_roots(texts):
     return [find(i) for i in range(len(texts))]
 
 
-def test_near_duplicates_by_brute_force(spark):
+@pytest.mark.parametrize("crowd", [jaccard.CROWD, 250])
+def test_near_duplicates_by_brute_force(spark, crowd, monkeypatch):
+    monkeypatch.setattr(jaccard, "CROWD", crowd)  # the small one deals crowds into parts
     rng = random.Random(12)
     texts = ["", None, " \n", "one", "One", "a b c d", "a b c d e"]
     for _ in range(25):  # a text and copies of it with some words changed
@@ -61,6 +65,28 @@ def test_near_duplicates_by_brute_force(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == want
 
 
+def test_links_of_band_keys():
+    key = np.array([5, 7, 5, 9, 7, 11])
+    fp = np.array([30, 10, 20, 40, 30, 50])
+    one, u, v = jaccard.linked_by_key(key, fp, np.array([30, 10, 20, 40, 30, 40]))
+    assert sorted(key[one].tolist()) == [5, 7, 9, 11]
+    assert dict(zip(u.tolist(), v.tolist(), strict=True)) == {20: 10, 30: 10, 50: 40}
+
+
+def test_a_crowd_in_parts_is_one_class(spark, monkeypatch):
+    """A chain of versions, of which only neighbours are alike enough, over many parts, and flushes of few keys."""
+    monkeypatch.setattr(jaccard, "CROWD", 100)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[6 * i : 6 * i + 70]) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(99, texts[3]), (None, texts[5])], "doc_id long, text string")
+    assert len(set(slow_roots(texts))) == 1
+    classes = jaccard.jaccard_classes(docs)
+    assert classes.select("root").distinct().count() == 1 and classes.count() == 40
+    few = jaccard._signatures(docs, 5).dropDuplicates(["fp"])
+    crowds = [{r.node: r.root for r in jaccard._crowds(few, 12, most).collect()} for most in (40, 1 << 19)]
+    assert crowds[0] == crowds[1] and len(crowds[0]) == 40
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
