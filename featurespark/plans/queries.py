@@ -205,10 +205,12 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def multi_sink_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The item log through all its sinks in two batches, each written twice: stored keys, members and day files."""
+    """The item log through all its sinks in two batches, inserts and deletes, each written twice: stored keys, members and day files."""
     folder, items = scratch_folder(spark, "jobs"), adapters.item_json(spark, sf_dir)
     config = Config(kv_path=f"{folder}/kv", store_path=f"{folder}/store", hdfs_output=f"{folder}/out", redis_new_max_items=TOP)
-    for batch, part in enumerate((items.filter("seq < 1000000"), items.filter("seq >= 1000000"))):
+    # by what they hold: from a million parts on, the numbers of inserts and deletes overlap
+    deletes = F.col("json").contains('"operation":"DELETE"')
+    for batch, part in enumerate((items.filter(~deletes), items.filter(deletes))):
         for _ in range(2):
             persist_raw(spark, part, batch, "item", config)
     kv = kv_table(spark, config, "item").read().select(F.lit("kv").alias("sink"), F.col("key").alias("name"), F.lit("").alias("member"))

@@ -5,19 +5,85 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import suppress
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a day that one task writes, about; a larger day is written by several.
+DAY_ROWS = 100_000
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """``rows`` with each day in one task, or a large one in several, so that a batch of many days has a file for each and not one a task."""
+    many = rows.groupBy("dt").count().filter(F.col("count") > DAY_ROWS)
+    many = many.select("dt", F.ceil(F.col("count") / DAY_ROWS).alias("_parts"))
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id()).join(F.broadcast(many), "dt", "left")
+    return numbered.repartition("dt", F.coalesce(F.col("_row") % F.col("_parts"), F.lit(0))).select(*rows.columns)
+
+
+def _file_system(path: str) -> tuple[fs.FileSystem, str] | None:
+    """The file system of a path and the path there; none if only Hadoop has it."""
+    scheme, rest = re.fullmatch(r"(?:([a-z][\w+.-]*):)?(.*)", path, re.DOTALL).groups()
+    if scheme in (None, "file"):
+        return fs.LocalFileSystem(), re.sub(r"^//(?=/)", "", rest)
+    try:
+        return fs.FileSystem.from_uri(path)
+    except (pa.ArrowInvalid, OSError):
+        return None
+
+
+def _write_days(rows: DataFrame, out: fs.FileSystem, root: str, batch_id: int) -> None:
+    """The task's days, sorted, each to one file of its own, which replaces those of earlier writes of the batch.
+
+    Hadoop's local files start a process for each new file to set its rights, which takes far longer than writing it; a batch may hold
+    tens of thousands of days.  A file gets its name when it is whole, the same in each attempt of a task.
+    """
+    write = uuid.uuid4().hex
+
+    def close(folder: str, stream, hidden: str) -> None:
+        stream.close()
+        name = f"{folder}/part-{TaskContext.get().partitionId():05d}-{write}.txt"
+        out.move(hidden, name)
+        for old in out.get_file_info(fs.FileSelector(folder)):
+            if not old.base_name.startswith(".") and write not in old.base_name:
+                with suppress(FileNotFoundError):  # another task of the day was faster
+                    out.delete_file(old.path)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        day, stream, folder, hidden = "", None, "", ""
+        for batch in batches:
+            for line, dt in zip(batch.column("json").to_pylist(), batch.column("dt").to_pylist(), strict=True):
+                if stream is None or dt != day:
+                    if stream is not None:
+                        close(folder, stream, hidden)
+                    day, folder = dt, f"{root}/dt={'__HIVE_DEFAULT_PARTITION__' if dt is None else dt}/batch_id={batch_id}"
+                    hidden = f"{folder}/.{uuid.uuid4().hex}"
+                    out.create_dir(folder, recursive=True)
+                    stream = out.open_output_stream(hidden)
+                stream.write(((line or "") + "\n").encode())
+        if stream is not None:
+            close(folder, stream, hidden)
+        yield from ()
+
+    rows.sortWithinPartitions("dt").mapInArrow(task, "n int").write.format("noop").mode("overwrite").save()
+
+
 def append_days(rows: DataFrame, path: str, batch_id: int | None = None) -> None:
     """Write ``json`` under ``dt=...``.  With a batch id, writing the same batch again replaces it."""
     rows = rows.select("json", "dt")
     if batch_id is None:
         rows.write.mode("append").partitionBy("dt").text(path)
+    elif (found := _file_system(path)) is not None:
+        _write_days(_spread(rows), *found, batch_id)
     else:
-        rows = rows.withColumn("batch_id", F.lit(batch_id))
+        rows = _spread(rows).withColumn("batch_id", F.lit(batch_id))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch_id").text(path)
 
 
