@@ -1,12 +1,13 @@
 """Near-duplicate classes of an exact similarity: the Jaccard likeness of the sets of word shingles.
 
-SimHash can't find these: at a likeness of 0.8 some ten of 64 bits differ, more than blocks of bits can be
-equal around.  Pairs are proposed by minima of hashed shingles instead, in bands of ``BAND``: of ``BANDS`` bands,
-a pair at the bound shares none with a chance of 5 in a million.  What shares a band, directly or through others,
-is a *crowd*; the sets of a crowd are brought together once, and there every link is counted exactly.  A crowd of more than
-``CROWD`` shingles is dealt into parts of about that size, and every two parts meet in a task of their own; so a task's memory is
-bounded, whatever the crowd, and no link is lost.  A band key that many texts share is linked where it is made, and
-reaches its block once from each flush of a task.
+Pairs are proposed by SimHash, as :mod:`.simhash` does: fingerprints of the shingles that differ in ``DISTANCE`` bits or fewer meet in
+cells of equal distances to pivots, and pivots and bits discard what is further apart.  At a likeness of 0.8 some ten of 64 bits
+differ, more than blocks of bits can be equal around; so what SimHash can't reach is proposed by minima of hashed
+shingles, in bands of ``BAND``: of ``BANDS`` bands, a pair at the bound shares none with a chance of 5 in a million.  What is
+proposed together, directly or through others, is a *crowd*; the sets of a crowd are brought together once, and there every link is
+counted exactly, whichever way proposed it.  A crowd of more than ``CROWD`` shingles is dealt into parts of about that size, and every
+two parts meet in a task of their own; so a task's memory is bounded, whatever the crowd, and no link is lost.  A band key that many texts share is
+linked where it is made, and reaches its block once from each flush of a task.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ from pyspark.sql import functions as F
 from .blocks import LEAST_BLOCKS, blocks_for
 from .components import components
 from .kernels import Chunk, chunks, find_words, mix, runs, span_hashes, window_starts, word_hashes
-from .simhash import Forest, lowered
+from .simhash import Forest, chunk_fingerprints, lowered, near_links
 from .support import keyed, saved
 
 #: Words of a shingle, and the likeness of a link, as a fraction.
 SHINGLE, LIKENESS = 5, (4, 5)
+#: Bits in which fingerprints of proposed pairs may differ, and the blocks of bits for that, two of which stay equal.
+DISTANCE, BLOCKS = 5, (9, 9, 9, 9, 9, 9, 10)
 #: Bands of a signature, and the minima in each.
 BANDS, BAND = 40, 6
 #: Shingles of a crowd that are compared in one task, or of a part of a larger one; and band keys that a task links at a time.
@@ -111,9 +114,9 @@ def crowd_roots(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, size: int) -> DataFrame:
-    """``doc, tag, fp, n, bands``: ``fp`` is a hash of all words, so rows of equal words are one node from the start.
+    """``doc, tag, fp, n, sim, bands``: ``fp`` is a hash of all words, so rows of equal words are one node from the start.
 
-    ``n`` is the number of shingles, repeats included.
+    ``n`` is the number of shingles, repeats included, and ``sim`` their SimHash.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,9 +126,10 @@ def _signatures(docs: DataFrame, size: int) -> DataFrame:
                 keys = bands(hashes, first).view(np.int64).ravel()
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(whole) + 1, dtype=np.int32) * BANDS), pa.array(keys))
                 columns = {c: batch.column(c).slice(chunk.lo, chunk.hi - chunk.lo) for c in ("doc", "tag")}
-                yield pa.record_batch(columns | {"fp": pa.array(whole.view(np.int64)), "n": pa.array(np.diff(first)), "bands": lists})
+                sims = pa.array(chunk_fingerprints(chunk, size).view(np.int64))
+                yield pa.record_batch(columns | {"fp": pa.array(whole.view(np.int64)), "n": pa.array(np.diff(first)), "sim": sims, "bands": lists})
 
-    return keyed(docs).mapInArrow(task, "doc long, tag long, fp long, n long, bands array<long>")
+    return keyed(docs).mapInArrow(task, "doc long, tag long, fp long, n long, sim long, bands array<long>")
 
 
 def linked_by_key(key: np.ndarray, fp: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,8 +147,19 @@ def linked_by_key(key: np.ndarray, fp: np.ndarray, head: np.ndarray) -> tuple[np
     return order[edges[:-1]], names[below], names[roots[below]]
 
 
+def _near(distinct: DataFrame, blocks: int) -> DataFrame:
+    """``u, v``: links of nodes by their SimHash, through the least node of each fingerprint."""
+    some = distinct.filter("fp <> 0").select("fp", "sim")
+    heads = saved(some.groupBy("sim").agg(F.min("fp").alias("head")))
+    links = near_links(heads.select(F.col("sim").alias("fp")), blocks, BLOCKS, DISTANCE)
+    for end in ("u", "v"):
+        links = links.join(heads.withColumnRenamed("sim", end), end).drop(end).withColumnRenamed("head", f"{end}_head")
+    same = some.join(heads, "sim").filter("fp <> head").select(F.col("fp").alias("u"), F.col("head").alias("v"))
+    return links.select(F.col("u_head").alias("u"), F.col("v_head").alias("v")).unionByName(same)
+
+
 def _crowds(distinct: DataFrame, blocks: int, most: int = KEYS) -> DataFrame:
-    """``node, root``: nodes that share a band, directly or through others."""
+    """``node, root``: nodes that are near by SimHash or share a band, directly or through others."""
 
     def send(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         key, fp = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -170,7 +185,8 @@ def _crowds(distinct: DataFrame, blocks: int, most: int = KEYS) -> DataFrame:
         return pa.table({"u": u, "v": v})
 
     keys = distinct.filter("fp <> 0").select("fp", "bands").mapInArrow(task, "block int, key long, fp long, head long")
-    return components(keys.groupBy("block").applyInArrow(block, "u long, v long"))
+    banded = keys.groupBy("block").applyInArrow(block, "u long, v long")
+    return components(_near(distinct, blocks).unionByName(banded))
 
 
 def jaccard_classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -181,7 +197,7 @@ def jaccard_classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """
     blocks = max(LEAST_BLOCKS, blocks_for(docs))
     rows = saved(_signatures(docs, size))
-    firsts = [F.min(F.struct("doc", "tag")).alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")]
+    firsts = [F.min(F.struct("doc", "tag")).alias("least"), *(F.first(c).alias(c) for c in ("n", "sim", "bands"))]
     distinct = saved(rows.groupBy("fp").agg(*firsts))
     crowds = saved(distinct.join(_crowds(distinct, blocks).withColumnRenamed("node", "fp"), "fp").select("fp", "root", "least", "n"))
     parts = crowds.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(CROWD)).cast("int").alias("parts")).filter("parts > 1")

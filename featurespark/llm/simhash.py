@@ -93,20 +93,20 @@ def pivots(n: int = PIVOTS) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def pivot_table(fps: np.ndarray, n: int = PIVOTS) -> np.ndarray:
+def pivot_table(fps: np.ndarray, n: int = PIVOTS, widths: tuple[int, ...] = BLOCKS) -> np.ndarray:
     """Distances of each fingerprint (first axis) to each pivot, in a part for each block of bits."""
-    out, at = np.empty((len(fps), n, len(BLOCKS)), np.uint8), 0
+    out, at = np.empty((len(fps), n, len(widths)), np.uint8), 0
     apart = fps[:, None] ^ pivots(n)[None, :]
-    for k, width in enumerate(BLOCKS):
+    for k, width in enumerate(widths):
         out[:, :, k] = np.bitwise_count((apart >> np.uint64(at)) & np.uint64((1 << width) - 1))
         at += width
     return out
 
 
-def cells(table: np.ndarray, routing: int = ROUTING) -> np.ndarray:
-    """The ten cells of each fingerprint: which two blocks, and a hash of their distances to the first pivots."""
-    out = []
-    for n, pair in enumerate(combinations(range(len(BLOCKS)), DISTANCE - 1)):
+def cells(table: np.ndarray, routing: int = ROUTING, distance: int = DISTANCE) -> np.ndarray:
+    """The cells of each fingerprint, ten for the contract's: which blocks ``distance`` bits leave alone, and a hash of their distances to the first pivots."""
+    out, blocks = [], table.shape[2]
+    for n, pair in enumerate(combinations(range(blocks), blocks - distance)):
         key = np.full(len(table), n + 1, np.uint64)
         for p in range(routing):
             for k in pair:
@@ -200,13 +200,16 @@ def links_in_cells(key: np.ndarray, fps: np.ndarray, distance: int = DISTANCE) -
     return names[below], names[roots[below]]
 
 
-def near_links(distinct: DataFrame, blocks: int) -> DataFrame:
-    """``u, v``: edges between the distinct fingerprints ``fp`` whose components are those of all links."""
+def near_links(distinct: DataFrame, blocks: int, widths: tuple[int, ...] = BLOCKS, distance: int = DISTANCE) -> DataFrame:
+    """``u, v``: edges between the distinct fingerprints ``fp`` whose components are those of all links.
+
+    ``widths`` are of ``distance + 2`` blocks.
+    """
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column("fp").to_numpy()
-            keys = cells(pivot_table(fps.view(np.uint64), ROUTING))
+            keys = cells(pivot_table(fps.view(np.uint64), ROUTING, widths), ROUTING, distance)
             block = ((keys >> np.uint64(20)) % np.uint64(blocks)).astype(np.int32)
             yield pa.record_batch(
                 {"block": block.ravel(), "key": keys.view(np.int64).ravel(), "fp": np.repeat(fps, keys.shape[1])}
@@ -214,7 +217,7 @@ def near_links(distinct: DataFrame, blocks: int) -> DataFrame:
 
     def block(table: pa.Table) -> pa.Table:
         key, fps = (table.column(c).to_numpy() for c in ("key", "fp"))
-        u, v = links_in_cells(key, fps.view(np.uint64))
+        u, v = links_in_cells(key, fps.view(np.uint64), distance)
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
 
     routed = distinct.select("fp").mapInArrow(route, "block int, key long, fp long")

@@ -5,10 +5,12 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from featurespark.llm import jaccard
 from featurespark.llm.queries import QUERIES, SQL
+from featurespark.llm.simhash import Forest, fingerprint
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables here")
@@ -100,3 +102,30 @@ def test_sql(spark, name):
     columns = sorted(df.columns)
     want = db.sql(f"SELECT {', '.join(columns)} FROM ({SQL[name]})").fetchall()
     assert sorted(map(repr, map(tuple, df.select(*columns).collect()))) == sorted(map(repr, want))
+
+
+def test_simhash_proposes(spark):
+    """Near fingerprints, by brute force, make crowds without the help of bands, through cells of distances to pivots."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(60):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 120)]
+        texts.append(" ".join(words))
+        for _ in range(3):
+            words = words[:]
+            words[int(rng.integers(0, 120))] = f"x{rng.integers(0, 5000)}"
+            texts.append(" ".join(words))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts[:3], "", None])], "doc_id long, text string")
+    few = jaccard._signatures(docs, 5).dropDuplicates(["fp"]).persist()
+    found = {r.fp: r.sim for r in few.filter("fp <> 0").collect()}
+    assert set(found.values()) == {np.uint64(fingerprint(t.encode(), 5)).astype(np.int64) for t in texts}
+    apart = few.withColumn("bands", F.transform("bands", lambda b: F.xxhash64("fp", b)))
+    names = sorted(found)
+    fps = np.array([found[n] for n in names]).view(np.uint64)
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= jaccard.DISTANCE
+    forest = Forest(len(names))
+    forest.link(*np.nonzero(near))
+    roots = forest.roots()
+    assert len(set(roots)) < len(names) - 60
+    crowds = {r.node: r.root for r in jaccard._crowds(apart, 12).collect()}
+    assert [crowds.get(n, n) for n in names] == [names[r] for r in roots]
